@@ -10,7 +10,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,23 +97,16 @@ def score_residual(
 
 def formula_coder(ids: DataFrame, id_col: str, h: int, table: int = 8) -> DataFrame:
     """Reproducible autoencoder rows, see :func:`score_autorec`."""
-    pieces = [(p, range(p * PART, min(h, (p + 1) * PART))) for p in range((h + PART - 1) // PART)]
-    return ids.select(
+    ident, part = F.col(id_col), F.col("part")
+    last = F.lit((h - 1) // PART)
+    units = F.sequence(part * PART, F.least(part * PART + PART, F.lit(h)) - 1)
+    return ids.select(id_col, F.explode(F.sequence(F.lit(0), last)).alias("part")).select(
         id_col,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(p).alias("part"),
-                        F.array(*[formula_value(id_col, j, table) for j in span]).alias("w_in"),
-                        F.array(*[formula_value(id_col, j, table + 1) for j in span]).alias("w_out"),
-                        formula_value(id_col, 0, table + 2).alias("b_out"),
-                    )
-                    for p, span in pieces
-                ]
-            )
-        ).alias("_r"),
-    ).select(id_col, "_r.*")
+        "part",
+        F.transform(units, lambda j: formula_value(ident, j, table)).alias("w_in"),
+        F.transform(units, lambda j: formula_value(ident, j, table + 1)).alias("w_out"),
+        formula_value(id_col, 0, table + 2).alias("b_out"),
+    )
 
 
 def formula_hidden_bias(h: int, table: int = 11) -> list[float]:
@@ -163,8 +155,8 @@ def score_autorec(
         .withColumn("_code", F.coalesce("_code", F.get(rest, part)))
     )
     # The last piece may be shorter than the others; its missing units add nothing.
-    units = (F.coalesce(F.get("_code", F.lit(j)) * F.get("w_out", F.lit(j)), F.lit(0.0)) for j in range(width))
-    share = reduce(lambda left, right: left + right, units)
+    terms = F.zip_with("_code", "w_out", lambda c, w: F.coalesce(c * w, F.lit(0.0)))
+    share = F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
     keep = pairs.columns
     return (
         joined.select(*keep, "b_out", share.alias("_share"))
