@@ -7,9 +7,8 @@ from ratewell.functions.metrics import (
 )
 from ratewell.functions.scalars import (
     clip,
-    formula_value,
-    linear,
     dot,
+    formula_value,
     pair_hash,
     pair_key,
     presence,
@@ -24,9 +23,8 @@ __all__ = [
     "mse",
     "rmse",
     "clip",
-    "formula_value",
-    "linear",
     "dot",
+    "formula_value",
     "pair_hash",
     "pair_key",
     "presence",

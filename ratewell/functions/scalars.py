@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -52,11 +51,6 @@ def dot(left: Column | str, right: Column | str, width: int) -> Column:
     return reduce(lambda a, b: a + b, (left[f] * right[f] for f in range(width)))
 
 
-def linear(inputs: Sequence[Column], weights: Sequence[float], bias: float) -> Column:
-    """``bias + sum(weight * input)`` with literal weights."""
-    return reduce(lambda a, b: a + b, (x * F.lit(float(w)) for x, w in zip(inputs, weights)), F.lit(float(bias)))
-
-
 def formula_value(ident: Column | str, position: Column | int, table: int) -> Column:
     """Reproducible parameter value for (row, position, table), the same in any engine.
 

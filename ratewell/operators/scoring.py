@@ -2,7 +2,7 @@
 
 Parameter tables have one row per id, so looking a row up is a join; Spark broadcasts a
 table only when its measured size allows it and otherwise shuffles, with skewed keys split
-at run time. The arithmetic is unrolled column code without Python workers.
+at run time.
 """
 
 from __future__ import annotations
@@ -11,10 +11,12 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewell.functions.scalars import dot, formula_value, linear, relu
+from ratewell.functions.scalars import dot, formula_value
 
 PART = 64  # hidden units per stored piece of an autoencoder row
 
@@ -60,10 +62,17 @@ def _bilinear(k: int) -> Column:
     return F.col("_u_bias") + F.col("_i_bias") + dot("_u_factors", "_i_factors", k)
 
 
-def _perceptron(k: int, net: Dense) -> Column:
-    inputs = [F.col("_u_factors")[f] for f in range(k)] + [F.col("_i_factors")[f] for f in range(k)]
-    hidden = [relu(linear(inputs, weights, bias)) for weights, bias in zip(net.w1, net.b1)]
-    return linear(hidden, net.w2, net.b2)
+def _perceptron(net: Dense) -> Column:
+    """The relu layer over whole Arrow batches: several times faster than 2k*h unrolled terms."""
+    w1, b1, w2, b2 = (np.asarray(part, dtype=float) for part in (net.w1, net.b1, net.w2, net.b2))
+    k = w1.shape[1] // 2
+
+    @F.arrow_udf("double")
+    def layer(users: pa.Array, items: pa.Array) -> pa.Array:
+        left, right = (rows.flatten().to_numpy().reshape(-1, k) for rows in (users, items))
+        return pa.array(np.maximum(np.hstack([left, right]) @ w1.T + b1, 0.0) @ w2 + b2)
+
+    return layer("_u_factors", "_i_factors")
 
 
 def _finish(scored: DataFrame, pairs: DataFrame, value: Column) -> DataFrame:
@@ -78,12 +87,12 @@ def score_mf(
 
 
 def score_mlp(
-    pairs: DataFrame, users: DataFrame, items: DataFrame, net: Dense, k: int,
+    pairs: DataFrame, users: DataFrame, items: DataFrame, net: Dense,
     user: str = "user_idx", item: str = "item_idx",
 ) -> DataFrame:
     """One hidden relu layer over both factor rows."""
     users, items = users.select(user, "factors"), items.select(item, "factors")
-    return _finish(_with_rows(pairs, users, items, user, item), pairs, _perceptron(k, net))
+    return _finish(_with_rows(pairs, users, items, user, item), pairs, _perceptron(net))
 
 
 def score_residual(
@@ -91,7 +100,7 @@ def score_residual(
     user: str = "user_idx", item: str = "item_idx",
 ) -> DataFrame:
     """Sum of :func:`score_mf` and :func:`score_mlp` over shared factors."""
-    value = _bilinear(k) + _perceptron(k, net)
+    value = _bilinear(k) + _perceptron(net)
     return _finish(_with_rows(pairs, users, items, user, item), pairs, value)
 
 

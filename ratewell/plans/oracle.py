@@ -179,6 +179,27 @@ FROM train GROUP BY user_id, item_id // 1024""",
 numbered AS (SELECT *, (row_number() OVER (ORDER BY user_id, item_id) - 1) // 1000 AS batch FROM scored)
 SELECT round(avg(e), 6) AS batch_rmse
 FROM (SELECT sqrt(avg((y - p) * (y - p)) + 1e-8) AS e FROM numbered GROUP BY batch)""",
+    "mf_sgd_step": f"""WITH {_MF_SCORED},
+e AS (SELECT user_id, item_id, p - y AS e FROM scored WHERE split = 'train'),
+l AS (SELECT count(*) * sqrt(avg(e * e) + 1e-8) AS nl FROM e),
+pos AS (SELECT unnest(range(11)) AS pos),
+g AS (
+  SELECT 'user' AS kind, user_id AS idx, pos,
+         sum(e * CASE WHEN pos = 10 THEN 1 ELSE {_formula('item_id', 'pos', 1)} END) AS g
+  FROM e, pos GROUP BY user_id, pos
+  UNION ALL
+  SELECT 'item', item_id, pos, sum(e * CASE WHEN pos = 10 THEN 1 ELSE {_formula('user_id', 'pos', 0)} END)
+  FROM e, pos GROUP BY item_id, pos
+),
+v AS (
+  SELECT 'user' AS kind, user_id AS idx, pos, {_formula('user_id', 'pos', 0)} AS v
+  FROM (SELECT DISTINCT user_id FROM s), pos
+  UNION ALL
+  SELECT 'item', item_id, pos, {_formula('item_id', 'pos', 1)} FROM (SELECT DISTINCT item_id FROM s), pos
+)
+SELECT kind, idx, CAST(pos AS INTEGER) AS pos,
+       round(v - 1.0 * (coalesce(g, 0) / (SELECT nl FROM l) + 1e-5 * v), 6) + 0.0 AS value
+FROM v LEFT JOIN g USING (kind, idx, pos)""",
     "roundtrip_dat": f"WITH {RATINGS} SELECT user_id, item_id, rating FROM r",
     "roundtrip_csv": f"WITH {RATINGS} SELECT user_id AS user_idx, item_id AS item_idx, rating FROM r",
     "roundtrip_split": f"WITH {LABELLED} SELECT user_id, item_id, rating, split FROM s",

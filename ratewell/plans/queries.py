@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewell.functions import batch_mean_rmse, masked_rmse, rmse
+from ratewell.operators import full_batch, scoring
 from ratewell.operators import prepare as prep
-from ratewell.operators import scoring
 from ratewell.operators.als import attach_predictions, fit_als, predict_als
 from ratewell.operators.neighbors import KnnModel, entity_stats
 from ratewell.operators.numbering import batch_no, dense_index, n_distinct
+from ratewell.operators.training import AutoRec, DeepMF, MatrixFactorization, ResidualMF
 from ratewell.plans.evaluate import evaluate
 from ratewell.plans.prepare import normalise
 from ratewell.session import cut_lineage, shared_dir
@@ -22,6 +23,7 @@ from ratewell.sources.fixtures import ratings_planted, ratings_view
 
 TOP_USERS, TOP_ITEMS = 1000, 80
 K, H, CODER_H = 10, 10, 96
+EPOCHS = 5
 
 USER, ITEM = "user_id", "item_id"
 
@@ -183,11 +185,13 @@ def _forward(kind):
         ratings = _labelled(spark, sf_dir)
         users, items = _formula_tables(ratings)
         pairs = ratings.select(USER, ITEM)
+        net = scoring.Dense.from_formula(K, H)
         if kind == "mf":
             scored = scoring.score_mf(pairs, users, items, K, USER, ITEM)
+        elif kind == "deep":
+            scored = scoring.score_mlp(pairs, users, items, net, USER, ITEM)
         else:
-            score = scoring.score_mlp if kind == "deep" else scoring.score_residual
-            scored = score(pairs, users, items, scoring.Dense.from_formula(K, H), K, USER, ITEM)
+            scored = scoring.score_residual(pairs, users, items, net, K, USER, ITEM)
         return scored.select(USER, ITEM, _r6("prediction"))
 
     return run
@@ -227,6 +231,32 @@ def q_mf_batch_rmse(spark, sf_dir):
     return batch_mean_rmse(numbered).select(_r6("batch_rmse"))
 
 
+# -- training -----------------------------------------------------------------------------
+
+
+def q_mf_sgd_step(spark, sf_dir):
+    labelled = _stored(spark, sf_dir)
+    train = prep.part_of(labelled, "train")
+    centred = prep.center(train, prep.global_mean(train))
+    users, items = _formula_tables(labelled)
+    state = full_batch.start(users, items, K, USER, ITEM)
+    stepped = full_batch.step(centred, state, K, user=USER, item=ITEM)
+    return stepped.select("kind", "idx", F.posexplode("values").alias("pos", "value")).select(
+        "kind", "idx", "pos", _r6("value")
+    )
+
+
+def _trained(trainer):
+    def run(spark, sf_dir):
+        train, test = (
+            part.select(F.col(USER).alias("user_idx"), F.col(ITEM).alias("item_idx"), "rating")
+            for part in _planted(spark, sf_dir)
+        )
+        return trainer.fit(train, test).metrics
+
+    return run
+
+
 # -- sources and sinks --------------------------------------------------------------------
 
 
@@ -309,6 +339,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "autorec_masked_rmse": q_autorec_masked_rmse,
     "mf_rmse": q_mf_rmse,
     "mf_batch_rmse": q_mf_batch_rmse,
+    "mf_sgd_step": q_mf_sgd_step,
+    "mf_train": _trained(MatrixFactorization(epochs=EPOCHS)),
+    "deep_train": _trained(DeepMF(epochs=EPOCHS)),
+    "residual_train": _trained(ResidualMF(epochs=EPOCHS)),
+    "autorec_train": _trained(AutoRec(epochs=EPOCHS)),
     "roundtrip_dat": q_roundtrip_dat,
     "roundtrip_csv": q_roundtrip_csv,
     "roundtrip_split": q_roundtrip_split,
