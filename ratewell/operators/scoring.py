@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ratewell.functions.scalars import dot, formula_value
 
-PART = 64  # hidden units per stored piece of an autoencoder row
+PART = 32  # hidden units per stored piece of an autoencoder row; wider sums outgrow compiled code
 
 
 @dataclass(frozen=True)
@@ -123,7 +123,19 @@ def formula_hidden_bias(h: int, table: int = 11) -> list[float]:
 
 
 def _pieces(values: Sequence[float]) -> Column:
-    return F.array(*[F.array(*[F.lit(float(v)) for v in values[p : p + PART]]) for p in range(0, len(values), PART)])
+    """Literal values in pieces of equal width, the last one filled with zeros."""
+    width = min(PART, len(values))
+    full = [*map(float, values), *[0.0] * (-len(values) % width)]
+    return F.array(*[F.array(*[F.lit(v) for v in full[p : p + width]]) for p in range(0, len(full), width)])
+
+
+def _row_dot(width: int):
+    @F.arrow_udf("double")
+    def product(left: pa.Array, right: pa.Array) -> pa.Array:
+        a, b = (rows.flatten().to_numpy().reshape(-1, width) for rows in (left, right))
+        return pa.array(np.einsum("bj,bj->b", a, b))
+
+    return product
 
 
 def score_autorec(
@@ -155,20 +167,23 @@ def score_autorec(
     code = sums.select(
         user,
         "part",
-        F.array(*[F.tanh(F.get(F.get(biases, part), F.lit(j)) + F.col(f"_s{j}")) for j in range(width)]).alias("_code"),
+        F.array(
+            *[F.coalesce(F.tanh(F.get(F.get(biases, part), F.lit(j)) + F.col(f"_s{j}")), F.lit(0.0)) for j in range(width)]
+        ).alias("_code"),
     )
     rest = _pieces([math.tanh(b) for b in b_in])
+    # The last piece may be shorter than the others; zeros fill it up.
+    padded = F.slice(F.concat("w_out", F.array_repeat(F.lit(0.0), width)), 1, width).alias("w_out")
+    # Narrow rows travel to the codes first; the item weights, wide too, join last.
     joined = (
-        pairs.join(items.select(item, "part", "w_out", "b_out"), item)
+        pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit((h - 1) // PART))))
         .join(code, [user, "part"], "left")
         .withColumn("_code", F.coalesce("_code", F.get(rest, part)))
+        .join(items.select(item, "part", padded, "b_out"), [item, "part"])
     )
-    # The last piece may be shorter than the others; its missing units add nothing.
-    terms = F.zip_with("_code", "w_out", lambda c, w: F.coalesce(c * w, F.lit(0.0)))
-    share = F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
     keep = pairs.columns
     return (
-        joined.select(*keep, "b_out", share.alias("_share"))
+        joined.select(*keep, "b_out", _row_dot(width)("_code", "w_out").alias("_share"))
         .groupBy(*keep)
         .agg((F.sum("_share") + F.max("b_out")).alias("prediction"))
     )
