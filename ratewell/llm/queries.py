@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratewell.llm.contamination import find_items
+from ratewell.llm.langid import identify
+from ratewell.llm.lines import dedup_lines
+from ratewell.llm.packing import pack
+from ratewell.llm.secrets import BASE, scan_secrets
 from ratewell.llm.substrings import remove_repeats
 
 
@@ -12,6 +19,51 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public vocabulary; it is installed on every machine."""
+    import public_tokenizers
+
+    return os.environ.get("RATEWELL_TOKENIZER") or public_tokenizers.path(name)
+
+
+def _joined(spans: Column) -> Column:
+    """``kind:start:end`` of every span, joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(documents(spark, sf_dir))
+
+    def of_kind(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    base = of_kind(*BASE)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in BASE]
+    return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("doc.text", 256).alias("kept_sha256"))
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_items(documents(spark, sf_dir), benchmark(spark, sf_dir))
+    return found.select("doc_id", "item_id", "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), tokenizer_path())
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(documents(spark, sf_dir))
     covered = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
@@ -19,10 +71,40 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
+    "op3_language_id": op3_language_id,
+    "op4_line_dedup": op4_line_dedup,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
+_SHINGLES = """
+    SELECT DISTINCT {id}, array_to_string(CASE WHEN len(w) < 5 THEN w ELSE w[p:p + 4] END, ' ') AS s
+    FROM (SELECT {id}, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM (
+        SELECT {id}, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {table}) WHERE len(w) > 0)"""
+
 ORACLE = {
+    "op7_benchmark_decontamination": f"""
+        WITH d AS ({_SHINGLES.format(id="doc_id", table="documents")}), b AS ({_SHINGLES.format(id="item_id", table="benchmark")}),
+        n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id)
+        SELECT doc_id, item_id, count(*)::BIGINT AS n_shared, any_value(n_item)::BIGINT AS n_item,
+            count(*) / any_value(n_item)::DOUBLE AS containment
+        FROM d JOIN b USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING count(*) * 100 >= any_value(n_item) * 80""",
+    "op4_line_dedup": """
+        WITH l AS (
+            SELECT doc_id, pos, line, lower_az(line) AS key FROM (
+                SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos
+                FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
+        first AS (SELECT key, min(doc_id) AS f FROM l WHERE length(key) >= 10 GROUP BY key)
+        SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (coalesce(l.doc_id > f, false))::BIGINT AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT coalesce(l.doc_id > f, false)), '')) AS kept_sha256
+        FROM l LEFT JOIN first USING (key) GROUP BY doc_id""".replace(
+        "lower_az(line)",
+        "translate(regexp_replace(regexp_replace(line, '^[\\x20\\x09-\\x0D]+', ''), '[\\x20\\x09-\\x0D]+$', ''), "
+        "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
+    ),
     "op10_substring_dedup": """
         WITH t AS (
             SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
