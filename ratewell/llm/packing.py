@@ -9,11 +9,11 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewell.llm.kernels import flat, slices, words
-from ratewell.llm.storage import stored
+from ratewell.llm.storage import running_sum, stored
 
 END = 1
 CACHE = 400_000
@@ -85,25 +85,6 @@ def _tokenize(path: str):
     return run
 
 
-def _running(df: DataFrame, groups: list[str], bucket: str, order: list[str], value: str, out: str) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over the rows before, in order of ``bucket`` and then ``order``.
-
-    Buckets are small, so a window sorts one bucket at a time and only bucket sums meet; also adds
-    ``<out>_total``, the sum over the whole group.
-    """
-    inside = Window.partitionBy(*groups, bucket).orderBy(*order)
-    before = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    sums = df.groupBy(*groups, bucket).agg(F.sum(value).alias("_sum"))
-    sums = sums.select(
-        *groups,
-        bucket,
-        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"),
-        F.sum("_sum").over(Window.partitionBy(*groups)).alias(f"{out}_total"),
-    )
-    local = df.withColumn("_local", F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col(value))
-    return local.join(sums, [*groups, bucket]).withColumn(out, F.col("_before") + F.col("_local")).drop("_before", "_local")
-
-
 def _cut(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Ids of the pieces; neighbouring segments of one document in one sequence become one piece."""
@@ -163,7 +144,7 @@ def pack(
     buckets = max(1, math.ceil(row["rows"] / bucket_rows))
     spot = F.xxhash64("key")
     queue = coded.select("key", "source", "n", spot.alias("spot"), F.pmod(spot, F.lit(buckets)).alias("bucket"))
-    queue = _running(queue, ["source"], "bucket", ["spot", "key"], "n", "at")
+    queue = running_sum(queue, ["source"], "bucket", ["spot", "key"], "n", "at")
 
     if mixture is None:
         share = F.col("at_total") / F.lit(total)
@@ -181,7 +162,7 @@ def pack(
     per_round = max(1.0, window / quantum)
     rounds = max(1, int(bucket_rows / (2 * per_round)))
     segments = segments.withColumn("bucket", F.floor(F.col("round") / rounds))
-    placed = _running(segments, [], "bucket", ["round", "source", "end"], "size", "place")
+    placed = running_sum(segments, [], "bucket", ["round", "source", "end"], "size", "place")
 
     def piece(skip, size):
         where = F.col("place") + skip

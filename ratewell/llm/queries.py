@@ -8,11 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewell.llm.contamination import find_items
+from ratewell.llm.jaccard import link_sets
 from ratewell.llm.langid import identify
 from ratewell.llm.lines import dedup_lines
+from ratewell.llm.mixing import score_texts
 from ratewell.llm.packing import pack
 from ratewell.llm.secrets import BASE, scan_secrets
+from ratewell.llm.sharding import kd_shards
 from ratewell.llm.substrings import remove_repeats
+from ratewell.llm.topk import scaled, top_k
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +50,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_sets(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
 
@@ -55,11 +63,26 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", "n_lines", "n_dropped", F.sha2("doc.text", 256).alias("kept_sha256"))
 
 
+def op5_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards(documents(spark, sf_dir), shards=40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 10 == 0)
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_items(documents(spark, sf_dir), benchmark(spark, sf_dir))
     return found.select("doc_id", "item_id", "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", scaled().alias("vector"))
+    return top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), tokenizer_path())
 
@@ -72,9 +95,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_language_id": op3_language_id,
     "op4_line_dedup": op4_line_dedup,
+    "op5_kd_sharding": op5_kd_sharding,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_exact_top_k": op8_exact_top_k,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
 }
@@ -86,6 +113,16 @@ _SHINGLES = """
             'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {table}) WHERE len(w) > 0)"""
 
 ORACLE = {
+    "op2_jaccard_join": f"""
+        WITH RECURSIVE sh AS ({_SHINGLES.format(id="doc_id", table="documents")}),
+        n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        link AS (
+            SELECT a.doc_id AS u, b.doc_id AS v FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(x.n) + any_value(y.n) - count(*))),
+        reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT reach.u, link.v FROM reach JOIN link ON reach.v = link.u),
+        c AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u)
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM c LEFT JOIN n USING (doc_id)""",
     "op7_benchmark_decontamination": f"""
         WITH d AS ({_SHINGLES.format(id="doc_id", table="documents")}), b AS ({_SHINGLES.format(id="item_id", table="benchmark")}),
         n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id)
@@ -121,4 +158,14 @@ ORACLE = {
         SELECT t.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
             sha256(coalesce(s, '')) AS kept_sha256
         FROM t LEFT JOIN kept USING (doc_id)""",
+    "op8_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
 }

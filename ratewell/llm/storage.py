@@ -6,7 +6,7 @@ import math
 import uuid
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewell.session import shared_dir
@@ -47,3 +47,22 @@ def in_blocks(docs: DataFrame, size: int, block_bytes: int) -> tuple[DataFrame,
     alone = F.lit(n) + F.pmod(F.xxhash64("text"), F.lit(n))
     block = F.when(F.col("doc_id").isNull(), alone).otherwise(number.cast("int")).cast("int")
     return docs.select(block.alias("block"), "doc_id", "text"), n
+
+
+def running_sum(df: DataFrame, groups: list[str], bucket: str, order: list[str], value: str, out: str) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over the rows before, in order of ``bucket`` and then ``order``.
+
+    Buckets are small, so a window sorts one bucket at a time and only bucket sums meet; also adds
+    ``<out>_total``, the sum over the whole group.
+    """
+    inside = Window.partitionBy(*groups, bucket).orderBy(*order)
+    before = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    sums = df.groupBy(*groups, bucket).agg(F.sum(value).alias("_sum"))
+    sums = sums.select(
+        *groups,
+        bucket,
+        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"),
+        F.sum("_sum").over(Window.partitionBy(*groups)).alias(f"{out}_total"),
+    )
+    local = df.withColumn("_local", F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col(value))
+    return local.join(sums, [*groups, bucket]).withColumn(out, F.col("_before") + F.col("_local")).drop("_before", "_local")
