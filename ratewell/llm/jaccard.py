@@ -344,8 +344,8 @@ def link_sets(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     No pair is given up: each is excluded by a bound, known to be in one component, or counted.
 
-    Returns ``doc_id, n_shingles, component_id``, one row per document; a component is named by the
-    smallest ``doc_id`` reachable by links. A text without words has no set and stands alone. Rows
+    Returns ``doc_id, text_hash, n_shingles, component_id, root``, one row per document; a component is
+    named by the smallest ``doc_id`` reachable by links and ``root`` tells components of one name apart. A text without words has no set and stands alone. Rows
     of one ``doc_id`` are linked by their texts only; a null id is null, but its text links others.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
@@ -406,7 +406,25 @@ def link_sets(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     named = sets.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     names = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_set = named.join(names, "root").select("sid", "component_id")
-    full = members.where(F.col("n") > 0).join(of_set, "sid").select("doc_id", "n", "component_id")
-    empty = members.where(F.col("n") == 0).select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return full.unionByName(empty).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    of_set = named.join(names, "root").select("sid", "root", "component_id")
+    full = members.where(F.col("n") > 0).join(of_set, "sid")
+    empty = members.where(F.col("n") == 0).withColumns({"component_id": F.col("doc_id"), "root": F.lit(None).cast("long")})
+    columns = ["doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id", "root"]
+    return full.select(*columns).unionByName(empty.select(*columns))
+
+
+def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of every class of :func:`link_sets`: smallest ``doc_id``, then smallest text hash.
+
+    Rows without words are kept; every column is kept and none can clash.
+    """
+    links = link_sets(docs.select("doc_id", "text"), size, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    one = links.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(order).alias("x")).select("x.doc_id", "x.text_hash")
+    alone = links.where(F.col("root").isNull()).select("doc_id", "text_hash").distinct()
+    kept = one.withColumn("single", F.lit(True)).unionByName(alone.withColumn("single", F.lit(False)))
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_hash"))
+    same = rows["_id"].eqNullSafe(kept["doc_id"]) & (rows["_hash"] == kept["text_hash"])
+    met = rows.join(kept.hint("shuffle_hash"), same).select("doc", "_id", "_hash", "single")
+    first = met.where("single").groupBy("_id", "_hash").agg(F.first("doc").alias("doc")).select("doc")
+    return first.unionByName(met.where(~F.col("single")).select("doc")).select("doc.*")

@@ -225,3 +225,29 @@ def identify(docs: DataFrame, size: int = 300) -> DataFrame:
     learn = docs.where(~held_out() & F.col("doc_id").isNotNull())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
     return predict_language(rows, fit_profiles(learn, size), size)
+
+
+def _keep(profiles: Profiles, min_score: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc = batch["doc"]
+            names = [doc.type.field(k).name for k in range(doc.type.num_fields)]
+            data, offsets = flat(doc.flatten()[names.index("text")])
+            near = np.zeros(batch.num_rows, bool)
+            for i, j, row, gram, count in _by_piece(data, offsets):
+                if profiles.langs:
+                    far, used = profiles.distances(row, gram, count, j - i)
+                    near[i:j] = (used > 0) & (far.min(0) <= (1 - min_score) * used * profiles.size)
+            yield batch.filter(pa.array(near))
+
+    return run
+
+
+def keep_identified(docs: DataFrame, profiles: DataFrame, min_score: float = 0.25, size: int = 300) -> DataFrame:
+    """The rows of ``docs`` whose text is in a known language: it has a letter and scores ``min_score`` or more.
+
+    Every column is kept and none can clash; null texts are rejected.
+    """
+    model = Profiles(profiles.toPandas(), size)
+    rows = docs.select(F.struct("*").alias("doc"))
+    return rows.mapInArrow(_keep(model, min_score), rows.schema).select("doc.*")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,30 +13,21 @@ from ratewell.llm.storage import running_sum, stored
 DIMENSIONS = ("size", "source", "lang", "doc_id")
 GRID = 32  # bits of a coordinate; the bits below break ties by text
 TIE = 29
-BINS = 1024
+BINS = 4096
 
 
 @dataclass
 class Node:
-    """Part of the tree: ``parts`` shards from ``first``; a cut sends keys below it to the left."""
+    """An open part of the tree: ``parts`` shards from ``first``; keys below ``cut`` stay with it."""
 
     first: int
     parts: int
-    dimension: str = ""
+    dimension: int = 0
     cut: int = 0
-    left: Node | None = None
-    right: Node | None = None
 
-    def leaf(self) -> Column:
-        """First shard of the node that a row falls into."""
-        if self.left is None or self.right is None:
-            return F.lit(self.first)
-        return F.when(F.col(f"k_{self.dimension}") < self.cut, self.left.leaf()).otherwise(self.right.leaf())
-
-    def leaves(self) -> list[Node]:
-        if self.left is None or self.right is None:
-            return [self]
-        return self.left.leaves() + self.right.leaves()
+    @property
+    def right(self) -> int:
+        return self.first + self.parts // 2
 
 
 def _coordinates(rows: DataFrame, limit: float) -> DataFrame:
@@ -73,9 +63,15 @@ def _coordinates(rows: DataFrame, limit: float) -> DataFrame:
     return both.select("doc_id", "size", "text_crc32", "text_hash", *keyed)
 
 
-def _case(nodes: list[Node], value) -> Column:
-    """``value(node)`` of the node whose first shard is in ``node``; null elsewhere."""
-    return reduce(lambda c, n: c.when(F.col("node") == n.first, value(n)), nodes[1:], F.when(F.col("node") == nodes[0].first, value(nodes[0])))
+def _of_node(values: dict[int, int]) -> Column:
+    """The value of the row's node; null for nodes without one."""
+    top = max(values)
+    return F.lit([values.get(k, -1) for k in range(top + 1)])[F.least("node", F.lit(top))].cast("long")
+
+
+def _key(nodes: list[Node]) -> Column:
+    """The row's key in the dimension that its node is cut along."""
+    return F.array(*(f"k_{d}" for d in DIMENSIONS))[_of_node({n.first: n.dimension for n in nodes}).cast("int")]
 
 
 def _split(rows: DataFrame, nodes: list[Node], slack: float) -> None:
@@ -84,41 +80,38 @@ def _split(rows: DataFrame, nodes: list[Node], slack: float) -> None:
     A pass adds the bytes up in ``BINS`` bins of the open interval of each node; the bin that the
     median falls into is the next interval, until it holds next to nothing or a single key.
     """
-    widths = [F.max(f"k_{d}").alias(f"hi_{d}") for d in DIMENSIONS] + [F.min(f"k_{d}").alias(f"lo_{d}") for d in DIMENSIONS]
-    stats = {r["node"]: r for r in rows.where(F.col("node").isin([n.first for n in nodes])).groupBy("node").agg(F.sum("size").alias("bytes"), *widths).collect()}
-    open_: dict[int, list[int]] = {}
-    goal: dict[int, float] = {}
-    for n in nodes:
-        s = stats.get(n.first)
-        if s is None:
-            n.dimension, n.cut = DIMENSIONS[0], 0
-            continue
-        n.dimension = max(DIMENSIONS, key=lambda d: s[f"hi_{d}"] - s[f"lo_{d}"])
-        open_[n.first] = [s[f"lo_{n.dimension}"], s[f"hi_{n.dimension}"] + 1]
+    ends = [f(f"k_{d}").alias(f"{n}_{d}") for d in DIMENSIONS for n, f in (("lo", F.min), ("hi", F.max))]
+    stats = {r["node"]: r for r in rows.groupBy("node").agg(F.sum("size").alias("bytes"), *ends).collect()}
+    active = [n for n in nodes if n.first in stats]
+    open_, goal = {}, {}
+    for n in active:
+        s = stats[n.first]
+        wide = max(DIMENSIONS, key=lambda d: s[f"hi_{d}"] - s[f"lo_{d}"])
+        n.dimension = DIMENSIONS.index(wide)
+        open_[n.first] = s[f"lo_{wide}"], s[f"hi_{wide}"] + 1
         goal[n.first] = s["bytes"] * (n.parts // 2) / n.parts
-    active = [n for n in nodes if n.first in open_]
     while active:
-        low = _case(active, lambda n: F.lit(open_[n.first][0]))
         step = {n.first: max(1, -(-(open_[n.first][1] - open_[n.first][0]) // BINS)) for n in active}
-        place = _case(active, lambda n: F.col(f"k_{n.dimension}")) - low
-        inside = _case(active, lambda n: (F.col(f"k_{n.dimension}") >= open_[n.first][0]) & (F.col(f"k_{n.dimension}") < open_[n.first][1]))
-        bins = rows.where(inside).groupBy("node", F.floor(place / _case(active, lambda n: F.lit(step[n.first]))).alias("bin"))
+        low, high = (_of_node({n.first: open_[n.first][k] for n in active}) for k in (0, 1))
+        key = _key(active)
+        inside = rows.where(F.col("node").isin([n.first for n in active]) & (key >= low) & (key < high))
+        apart = inside.select("node", "size", (key - low).alias("offset"), _of_node(step).alias("step"))
+        bins = apart.groupBy("node", F.expr("offset div step").alias("bin"))
         sums: dict[int, list[tuple[int, int]]] = {}
         for r in bins.agg(F.sum("size").alias("bytes")).collect():
             sums.setdefault(r["node"], []).append((r["bin"], r["bytes"]))
         again = []
         for n in active:
-            start, end = open_[n.first]
             left = goal[n.first]
             for number, size in sorted(sums[n.first]):
                 if size >= left:
                     break
                 left -= size
-            begin = start + number * step[n.first]
-            stop = min(end, begin + step[n.first])
+            begin = open_[n.first][0] + number * step[n.first]
+            stop = min(open_[n.first][1], begin + step[n.first])
             n.cut = begin if left < size - left else stop
             if size > slack and stop - begin > 1 and 0 < left < size:
-                open_[n.first], goal[n.first] = [begin, stop], left
+                open_[n.first], goal[n.first] = (begin, stop), left
                 again.append(n)
         active = again
 
@@ -155,14 +148,16 @@ def kd_shards(
     parts = shards or max(1, math.ceil(total / (target_bytes or total or 1)))
     share = total / parts
     placed = stored(_coordinates(rows, share * group_share), "coordinates")
-    root = Node(0, parts)
-    while open_ := [n for n in root.leaves() if n.parts > 1]:
-        _split(placed.withColumn("node", root.leaf()), open_, share * 1e-4)
-        for n in open_:
-            n.left, n.right = Node(n.first, n.parts // 2), Node(n.first + n.parts // 2, n.parts - n.parts // 2)
+    placed = placed.withColumn("node", F.lit(0))
+    nodes = [Node(0, parts)]
+    while nodes := [n for n in nodes if n.parts > 1]:
+        _split(placed, nodes, share * 1e-3)
+        beyond = F.col("node").isin([n.first for n in nodes]) & (_key(nodes) >= _of_node({n.first: n.cut for n in nodes}))
+        placed = stored(placed.withColumn("node", F.when(beyond, _of_node({n.first: n.right for n in nodes}).cast("int")).otherwise(F.col("node"))), "nodes")
+        nodes = [part for n in nodes for part in (Node(n.first, n.parts // 2), Node(n.right, n.parts - n.parts // 2))]
     buckets = max(1, math.ceil(whole["n"] / parts / bucket_rows))
     leaf = placed.select(
-        "doc_id", "size", "text_crc32", "text_hash", root.leaf().alias("shard"), F.lit(1).alias("one"),
+        "doc_id", "size", "text_crc32", "text_hash", F.col("node").alias("shard"), F.lit(1).alias("one"),
         F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(buckets)).alias("bucket"),
     )
     numbered = running_sum(leaf, ["shard"], "bucket", ["doc_id", "text_hash"], "one", "slot")
