@@ -17,14 +17,14 @@ from ratewell.llm.storage import stored, text_bytes
 BUCKET_ROWS = 1 << 20
 SKIP_ROWS = 64  # entries of an index list that are skipped together
 HEAVY = 1 << 19
-HEAVY_LOCAL, HEAVY_COUNT, HEAVY_FLUSH = 8, 64, 1 << 22
+HEAVY_LOCAL, HEAVY_COUNT, HEAVY_FLUSH = 3, 16, 1 << 22
 
 MEMBERS = "doc_id bigint, text_hash bigint, n bigint, sid bigint"
 COUNTS = "token bigint, n bigint"
-ENTRIES = "bucket int, token binary, sid binary, n binary, pos binary"
-LISTS = "bucket int, token binary, sid binary, n binary, pos binary, pairs binary"
+ENTRIES = "bucket int, token binary, sid binary, n binary, pos binary, rare binary"
+LISTS = "bucket int, token binary, sid binary, n binary, pos binary, rare binary, pairs binary"
 PAIRS = "a bigint, b bigint, na bigint, nb bigint, shared bigint"
-COLUMNS = {"token": np.uint64, "sid": np.int64, "n": np.uint32, "pos": np.uint32}
+COLUMNS = {"token": np.uint64, "sid": np.int64, "n": np.uint32, "pos": np.uint32, "rare": np.uint32}
 
 
 def least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
@@ -109,7 +109,8 @@ def _index(size: int, percent: int, bits: int, heavy: np.ndarray):
                 bucket = (token & np.uint64((1 << bits) - 1)).astype(np.int64)
                 by = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[by], np.arange((1 << bits) + 1))
-                columns = {"token": token[by], "sid": sid[owner][by], "n": n[owner][by], "pos": place[by]}
+                rare = n - np.bincount(row, late, len(n)).astype(np.int64)
+                columns = {"token": token[by], "sid": sid[owner][by], "n": n[owner][by], "pos": place[by], "rare": rare[owner][by]}
                 full = np.flatnonzero(np.diff(cuts))
                 yield pa.record_batch(
                     {
@@ -140,10 +141,11 @@ def _pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, counts:
 
 
 def _lists(table: pa.Table) -> pa.Table:
-    """Index lists of one bucket with two or more sets, and each list's pairs with its first set.
+    """Index lists of one bucket with two or more sets, and each list's pairs with its heads.
 
-    The first set is the smallest id among sets of a like size; near copies of one text agree on it
-    in most of their lists.
+    A list has one head for every class of like sizes: the set with the smallest share of rare tokens.
+    In a group of near copies that is the text that the others were made from, and each copy is near
+    to it although two copies may be too far from each other.
     """
     e = _entries(table)
     order = np.lexsort((e["sid"], e["token"]))
@@ -154,12 +156,23 @@ def _lists(table: pa.Table) -> pa.Table:
     many = counts[at] > 1
     e = {c: v[many] for c, v in e.items()}
     kind = np.floor(np.log(np.maximum(e["n"], 1)) / math.log(1.25)).astype(np.int64)
-    order = np.lexsort((e["sid"], kind, e["token"]))
+    order = np.lexsort((e["sid"], e["rare"] / np.maximum(e["n"], 1), kind, e["token"]))
     token, kind, sid, n = e["token"][order], kind[order], e["sid"][order], e["n"][order]
-    head = np.append(True, (token[1:] != token[:-1]) | (kind[1:] != kind[:-1]))[: len(token)]
-    first = np.flatnonzero(head)[np.cumsum(head) - 1] if len(token) else np.zeros(0, np.int64)
-    rest = ~head
-    pairs = _pairs(sid[first[rest]], sid[rest], n[first[rest]], n[rest])
+    number = np.cumsum(np.append(False, token[1:] != token[:-1])[: len(token)]) if len(token) else np.zeros(0, np.int64)
+    place = number * 256 + kind
+    heads, first = np.unique(place, return_index=True)
+    left, right = [], []
+    for step in (-1, 0, 1):
+        at = np.minimum(np.searchsorted(heads, place + step), max(0, len(heads) - 1))
+        member = np.flatnonzero(heads[at] == place + step) if len(heads) else at
+        head = first[at[member]]
+        other = sid[head] != sid[member]
+        left.append(head[other])
+        right.append(member[other])
+    i, j = np.concatenate(left), np.concatenate(right)
+    flip = sid[i] > sid[j]
+    i, j = np.where(flip, j, i), np.where(flip, i, j)
+    pairs = _pairs(sid[i], sid[j], n[i], n[j])
     return pa.table(
         {
             "bucket": table["bucket"][:1],
@@ -367,8 +380,10 @@ def link_sets(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     twice = near.withColumn("shared", F.col("shared") * 2).where(_possible(percent)).drop("shared")
     known = verify(twice).where(_linked(percent))
     roots = components(_edges(known))
-    best = F.max_by(F.struct(F.col("a").alias("base"), F.col("na").alias("n_base"), "overlap"), F.struct("overlap", "a"))
-    bases = stored(known.groupBy(F.col("b").alias("sid")).agg(best.alias("x")).select("sid", "x.*"), "bases")
+    best = F.max_by(F.struct(F.col("a").alias("base"), F.col("na").alias("n_base"), "overlap"), F.struct("degree", "overlap", "a"))
+    both = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("nb").alias("na"), F.col("na").alias("nb"), "overlap"))
+    degree = known.select(F.explode(F.array("a", "b")).alias("a")).groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
+    bases = stored(both.join(degree, "a").groupBy(F.col("b").alias("sid")).agg(best.alias("x")).select("sid", "x.*"), "bases")
 
     told = lists.select("bucket", "sid").mapInArrow(_unpack_sids, "bucket int, sid bigint")
     told = told.join(roots.select(F.col("node").alias("sid"), "root"), "sid").select("bucket", "sid", "root")
