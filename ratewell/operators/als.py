@@ -18,12 +18,10 @@ def fit_als(
     user: str = "user_idx",
     item: str = "item_idx",
     rating: str = "rating",
-    blocks: int | None = None,
+    blocks: int = 10,
 ) -> ALSModel:
-    """Explicit-feedback ALS. ``blocks`` defaults to the cluster's parallelism, at least 10."""
-    spark = train.sparkSession
-    shared_dir(spark)  # lets ALS cut its lineage every few iterations
-    blocks = blocks or max(10, spark.sparkContext.defaultParallelism)
+    """Explicit-feedback ALS. The random start is drawn by block, so ``blocks`` is part of the model."""
+    shared_dir(train.sparkSession)  # lets ALS cut its lineage every few iterations
     als = ALS(
         rank=rank,
         maxIter=iters,

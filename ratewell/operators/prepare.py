@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from ratewell.functions.scalars import pair_hash, pair_key
 from ratewell.operators.numbering import global_row_number
 
-# Above this size the n best rows are ranked by range partitions instead of one merge task.
-MERGE_LIMIT = 100_000
-
 
 def as_triples(df: DataFrame, user: str = "user_idx", item: str = "item_idx", rating: str = "rating") -> DataFrame:
     """Project and cast to ``(user_idx BIGINT, item_idx BIGINT, rating DOUBLE)``."""
@@ -39,15 +36,8 @@ def activity(df: DataFrame, key: str) -> DataFrame:
 
 
 def top_n(counts: DataFrame, key: str, n: int) -> DataFrame:
-    """The ``n`` most active ids, ties to the lowest id.
-
-    A small ``n`` is a per-partition heap and one merge. A large ``n`` would put too many
-    rows into that merge, so it is ranked across range partitions.
-    """
-    order = [F.desc("n_ratings"), F.asc(key)]
-    if n <= MERGE_LIMIT:
-        return counts.orderBy(*order).limit(n)
-    return global_row_number(counts, order, "_rank").where(F.col("_rank") <= n).drop("_rank")
+    """The ``n`` most active ids, ties to the lowest id: a heap of ``n`` per partition and one merge."""
+    return counts.orderBy(F.desc("n_ratings"), F.asc(key)).limit(n)
 
 
 def keep_top(df: DataFrame, top: DataFrame, key: str) -> DataFrame:

@@ -52,10 +52,14 @@ def formula_factors(ids: DataFrame, id_col: str, table: int, k: int) -> DataFram
     )
 
 
-def _with_rows(pairs: DataFrame, users: DataFrame, items: DataFrame, user: str, item: str) -> DataFrame:
-    left = users.select(user, *[F.col(c).alias(f"_u_{c}") for c in users.columns if c != user])
-    right = items.select(item, *[F.col(c).alias(f"_i_{c}") for c in items.columns if c != item])
-    return pairs.join(left, user).join(right, item)
+def _with_rows(pairs: DataFrame, users: DataFrame, items: DataFrame, user: str, item: str, k: int) -> DataFrame:
+    """Every asked pair with both rows; an id that was not part of the fit has zeros."""
+    zeros = F.array_repeat(F.lit(0.0), k)
+    for rows, key, side in ((users, user, "_u"), (items, item, "_i")):
+        rest = [c for c in rows.columns if c != key]
+        pairs = pairs.join(rows.select(key, *[F.col(c).alias(f"{side}_{c}") for c in rest]), key, "left")
+        pairs = pairs.withColumns({f"{side}_{c}": F.coalesce(f"{side}_{c}", zeros if c == "factors" else F.lit(0.0)) for c in rest})
+    return pairs
 
 
 def _bilinear(k: int) -> Column:
@@ -83,7 +87,7 @@ def score_mf(
     pairs: DataFrame, users: DataFrame, items: DataFrame, k: int, user: str = "user_idx", item: str = "item_idx"
 ) -> DataFrame:
     """Both biases plus the factor product."""
-    return _finish(_with_rows(pairs, users, items, user, item), pairs, _bilinear(k))
+    return _finish(_with_rows(pairs, users, items, user, item, k), pairs, _bilinear(k))
 
 
 def score_mlp(
@@ -91,8 +95,8 @@ def score_mlp(
     user: str = "user_idx", item: str = "item_idx",
 ) -> DataFrame:
     """One hidden relu layer over both factor rows."""
-    users, items = users.select(user, "factors"), items.select(item, "factors")
-    return _finish(_with_rows(pairs, users, items, user, item), pairs, _perceptron(net))
+    users, items, k = users.select(user, "factors"), items.select(item, "factors"), len(net.w1[0]) // 2
+    return _finish(_with_rows(pairs, users, items, user, item, k), pairs, _perceptron(net))
 
 
 def score_residual(
@@ -101,7 +105,7 @@ def score_residual(
 ) -> DataFrame:
     """Sum of :func:`score_mf` and :func:`score_mlp` over shared factors."""
     value = _bilinear(k) + _perceptron(net)
-    return _finish(_with_rows(pairs, users, items, user, item), pairs, value)
+    return _finish(_with_rows(pairs, users, items, user, item, k), pairs, value)
 
 
 def formula_coder(ids: DataFrame, id_col: str, h: int, table: int = 8) -> DataFrame:
@@ -152,7 +156,8 @@ def score_autorec(
     ``items`` holds the two weight vectors and output bias of each item, cut in pieces of
     ``PART`` hidden units: ``(item, part, w_in, w_out, b_out)``. The encoder is a join and
     a sum per (user, piece) with map-side partial sums, so a user with a very long row is
-    added up in many tasks. A user without ratings is encoded from the bias alone.
+    added up in many tasks. A user without ratings is encoded from the bias alone; an item that
+    was not part of the fit gets 0, the train mean on the centred scale.
     """
     h = len(b_in)
     width = min(PART, h)
@@ -179,11 +184,12 @@ def score_autorec(
         pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit((h - 1) // PART))))
         .join(code, [user, "part"], "left")
         .withColumn("_code", F.coalesce("_code", F.get(rest, part)))
-        .join(items.select(item, "part", padded, "b_out"), [item, "part"])
+        .join(items.select(item, "part", padded, "b_out"), [item, "part"], "left")
+        .withColumn("w_out", F.coalesce("w_out", F.array_repeat(F.lit(0.0), width)))
     )
     keep = pairs.columns
     return (
         joined.select(*keep, "b_out", _row_dot(width)("_code", "w_out").alias("_share"))
         .groupBy(*keep)
-        .agg((F.sum("_share") + F.max("b_out")).alias("prediction"))
+        .agg((F.sum("_share") + F.coalesce(F.max("b_out"), F.lit(0.0))).alias("prediction"))
     )

@@ -39,11 +39,11 @@ pr AS (
   GROUP BY x.e, y.e HAVING count(*) > 5
 ),
 w AS (
-  SELECT i, j, round(CASE WHEN p.g = 0 OR q.g = 0 THEN 0 ELSE num / (p.g * q.g) END, 9) + 0.0 AS w
+  SELECT i, j, CASE WHEN p.g = 0 OR q.g = 0 OR abs(num / (p.g * q.g)) < 1e-12 THEN 0.0 ELSE num / (p.g * q.g) END AS w
   FROM pr JOIN nm p ON p.e = i JOIN nm q ON q.e = j
 ),
 near AS (
-  SELECT e, f, w, row_number() OVER (PARTITION BY e ORDER BY w DESC, f DESC) AS rk
+  SELECT e, f, w, row_number() OVER (PARTITION BY e ORDER BY round(w, 9) + 0.0 DESC, f DESC) AS rk
   FROM (SELECT i AS e, j AS f, w FROM w UNION ALL SELECT j, i, w FROM w)
   QUALIFY rk <= 25
 )"""
@@ -112,7 +112,7 @@ scored AS (
 )"""
 
 _CODER = f"""{LABELLED},
-unit AS (SELECT unnest(range(96)) AS j),
+unit AS (SELECT unnest(range(700)) AS j),
 net AS (
   SELECT t.user_id, j, sum((rating - (SELECT m FROM gm)) * ({_formula('item_id', 'j', 8)})) AS z
   FROM train t, unit GROUP BY t.user_id, j
@@ -170,6 +170,19 @@ FROM train GROUP BY user_id, item_id // 1024""",
     "user_knn_mse": _knn_mse("user_id", "item_id"),
     "item_knn_mse": _knn_mse("item_id", "user_id"),
     "mf_forward": _forward(_BILINEAR),
+    "mf_forward_cold": f"""WITH {LABELLED},
+a AS (SELECT user_id, item_id FROM s UNION ALL SELECT user_id + 1000000, item_id FROM s WHERE user_id % 50 = 0),
+ku AS (SELECT DISTINCT user_id, true AS known_user FROM train), ki AS (SELECT DISTINCT item_id, true AS known_item FROM train)
+SELECT user_id, item_id, round(
+  CASE WHEN known_user THEN {_formula('user_id', 10, 0)} ELSE 0 END
+  + CASE WHEN known_item THEN {_formula('item_id', 10, 1)} ELSE 0 END
+  + CASE WHEN known_user AND known_item THEN
+      list_sum([({_formula('user_id', 'f', 0)}) * ({_formula('item_id', 'f', 1)}) FOR f IN range(10)]) ELSE 0 END, 6) + 0.0 AS prediction
+FROM a LEFT JOIN ku USING (user_id) LEFT JOIN ki USING (item_id)""",
+    "als_optimality": f"WITH {LABELLED} SELECT DISTINCT user_id, 0.0::DOUBLE AS residual FROM train",
+    "attached": f"""WITH {LABELLED}
+SELECT user_id, item_id, rating, round((user_id * 31 + item_id * 17) % 101 / 20, 6) + 0.0 AS prediction
+FROM s WHERE (user_id + item_id) % 7 <> 0""",
     "deep_forward": _forward(_PERCEPTRON),
     "residual_forward": _forward(f"{_BILINEAR} + {_PERCEPTRON}"),
     "autorec_forward": f"WITH {_CODER} SELECT user_id, item_id, round(p, 6) + 0.0 AS prediction FROM coded",

@@ -22,8 +22,7 @@ from ratewell.sources import ratings as io
 from ratewell.sources.fixtures import ratings_planted, ratings_view
 
 TOP_USERS, TOP_ITEMS = 1000, 80
-K, H, CODER_H = 10, 10, 96
-EPOCHS = 5
+K, H, CODER_H = 10, 10, 700
 
 USER, ITEM = "user_id", "item_id"
 
@@ -171,6 +170,36 @@ def q_als_mse(spark, sf_dir):
     return evaluate(lambda df: attach_predictions(df, predict_als(model, df), USER, ITEM), train, test, "als")
 
 
+def q_als_optimality(spark, sf_dir):
+    """Gradient of the regularised squared error at each user's factors, against its right side."""
+    train, _ = _planted(spark, sf_dir)
+    reg = 0.01
+    model = fit_als(train, reg=reg, user=USER, item=ITEM)
+    users = model.userFactors.select(F.col("id").alias(USER), F.col("features").alias("x"))
+    items = model.itemFactors.select(F.col("id").alias(ITEM), F.col("features").alias("y"))
+    x, y = ([F.col(c)[f].cast("double") for f in range(K)] for c in "xy")
+    gap = sum((a * b for a, b in zip(x, y)), F.lit(0.0)) - F.col("rating")
+    sums = (
+        train.join(users, USER)
+        .join(items, ITEM)
+        .groupBy(USER)
+        .agg(
+            F.array(*[F.sum(gap * y[f] + reg * x[f]) for f in range(K)]).alias("slope"),
+            F.array(*[F.sum(F.col("rating") * y[f]) for f in range(K)]).alias("right"),
+        )
+    )
+    norm = {c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, v: s + v * v)) for c in ("slope", "right")}
+    return sums.select(USER, (F.round(norm["slope"] / norm["right"], 3) + F.lit(0.0)).alias("residual"))
+
+
+def q_attached(spark, sf_dir):
+    """Ratings with a formula prediction; every seventh pair has none and is left out."""
+    labelled = _labelled(spark, sf_dir)
+    known = labelled.where((F.col(USER) + F.col(ITEM)) % 7 != 0)
+    predictions = known.select(USER, ITEM, ((F.col(USER) * 31 + F.col(ITEM) * 17) % 101 / 20).alias("prediction"))
+    return attach_predictions(labelled, predictions, USER, ITEM).select(USER, ITEM, "rating", _r6("prediction"))
+
+
 # -- forward passes with formula parameters -----------------------------------------------
 
 
@@ -197,6 +226,15 @@ def _forward(kind):
     return run
 
 
+def q_mf_forward_cold(spark, sf_dir):
+    """Factors of train ids only, asked for all pairs and for users that no table holds."""
+    labelled = _stored(spark, sf_dir)
+    users, items = _formula_tables(prep.part_of(labelled, "train"))
+    pairs = labelled.select(USER, ITEM)
+    unseen = pairs.where(F.col(USER) % 50 == 0).select((F.col(USER) + 1_000_000).alias(USER), ITEM)
+    return scoring.score_mf(pairs.unionByName(unseen), users, items, K, USER, ITEM).select(USER, ITEM, _r6("prediction"))
+
+
 def _autorec_scored(spark, sf_dir) -> DataFrame:
     labelled = _stored(spark, sf_dir)
     train = prep.part_of(labelled, "train")
@@ -331,19 +369,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_knn_mse": _knn_mse(USER),
     "item_knn_mse": _knn_mse(ITEM),
     "als_predict": q_als_predict,
+    "als_optimality": q_als_optimality,
+    "attached": q_attached,
     "als_mse": q_als_mse,
     "mf_forward": _forward("mf"),
     "deep_forward": _forward("deep"),
     "residual_forward": _forward("residual"),
+    "mf_forward_cold": q_mf_forward_cold,
     "autorec_forward": q_autorec_forward,
     "autorec_masked_rmse": q_autorec_masked_rmse,
     "mf_rmse": q_mf_rmse,
     "mf_batch_rmse": q_mf_batch_rmse,
     "mf_sgd_step": q_mf_sgd_step,
-    "mf_train": _trained(MatrixFactorization(epochs=EPOCHS)),
-    "deep_train": _trained(DeepMF(epochs=EPOCHS)),
-    "residual_train": _trained(ResidualMF(epochs=EPOCHS)),
-    "autorec_train": _trained(AutoRec(epochs=EPOCHS)),
+    "mf_train": _trained(MatrixFactorization()),
+    "deep_train": _trained(DeepMF()),
+    "residual_train": _trained(ResidualMF()),
+    "autorec_train": _trained(AutoRec()),
     "roundtrip_dat": q_roundtrip_dat,
     "roundtrip_csv": q_roundtrip_csv,
     "roundtrip_split": q_roundtrip_split,

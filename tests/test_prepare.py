@@ -51,9 +51,7 @@ def test_n_distinct(spark):
     assert n_distinct(spark.createDataFrame([(1,), (1,), (2,)], "k long"), "k").first()[0] == 2
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_top_n_breaks_ties_by_lowest_id(spark, monkeypatch, limit):
-    monkeypatch.setattr(prep, "MERGE_LIMIT", limit)
+def test_top_n_breaks_ties_by_lowest_id(spark):
     counts = spark.createDataFrame([(9, 3), (4, 5), (2, 3), (7, 3)], "user_id long, n_ratings long")
     assert sorted(r[0] for r in prep.top_n(counts, "user_id", 2).select("user_id").collect()) == [2, 4]
 
