@@ -188,6 +188,11 @@ FROM s WHERE (user_id + item_id) % 7 <> 0""",
     "autorec_forward": f"WITH {_CODER} SELECT user_id, item_id, round(p, 6) + 0.0 AS prediction FROM coded",
     "autorec_masked_rmse": f"WITH {_CODER} SELECT split, {_RMSE} AS rmse FROM coded GROUP BY split",
     "mf_rmse": f"WITH {_MF_SCORED} SELECT split, {_RMSE} AS rmse FROM scored GROUP BY split",
+    "masked_rmse_zero": f"""WITH {_MF_SCORED}
+SELECT split, round(sqrt(avg((r.rating - 2.5 - p) * (r.rating - 2.5 - p)) + 1e-8), 6) AS rmse
+FROM scored JOIN r USING (user_id, item_id) WHERE r.rating <> 2.5 GROUP BY split""",
+    "metrics_roundtrip": f"""WITH {_MF_SCORED}, e AS (SELECT split, {_RMSE} AS value FROM scored GROUP BY split)
+SELECT 'mf' AS model, epoch::INTEGER AS epoch, split, 'rmse' AS metric, value FROM e, (SELECT unnest([0, 1]) AS epoch)""",
     "mf_batch_rmse": f"""WITH {_MF_SCORED},
 numbered AS (SELECT *, (row_number() OVER (ORDER BY user_id, item_id) - 1) // 1000 AS batch FROM scored)
 SELECT round(avg(e), 6) AS batch_rmse

@@ -269,6 +269,23 @@ def q_mf_batch_rmse(spark, sf_dir):
     return batch_mean_rmse(numbered).select(_r6("batch_rmse"))
 
 
+def q_masked_rmse_zero(spark, sf_dir):
+    """The literal mask on ratings shifted by 2.5, so that those of 2.5 count as missing."""
+    scored = _mf_scored(spark, sf_dir).drop("rating")
+    shifted = scored.join(ratings_view(spark, sf_dir).select(USER, ITEM, (F.col("rating") - 2.5).alias("rating")), [USER, ITEM])
+    return masked_rmse(shifted, by=["split"], zero_is_missing=True).select("split", _r6("rmse"))
+
+
+def q_metrics_roundtrip(spark, sf_dir):
+    """Errors written twice in append mode and read back."""
+    path = _fresh(spark, "metrics")
+    errors = rmse(_mf_scored(spark, sf_dir), by=["split"])
+    for epoch in (0, 1):
+        row = errors.select(F.lit("mf").alias("model"), F.lit(epoch).alias("epoch"), "split", F.lit("rmse").alias("metric"), _r6("rmse"))
+        io.write_metrics(row.withColumnRenamed("rmse", "value"), path)
+    return spark.read.parquet(path)
+
+
 # -- training -----------------------------------------------------------------------------
 
 
@@ -380,6 +397,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "autorec_masked_rmse": q_autorec_masked_rmse,
     "mf_rmse": q_mf_rmse,
     "mf_batch_rmse": q_mf_batch_rmse,
+    "masked_rmse_zero": q_masked_rmse_zero,
+    "metrics_roundtrip": q_metrics_roundtrip,
     "mf_sgd_step": q_mf_sgd_step,
     "mf_train": _trained(MatrixFactorization()),
     "deep_train": _trained(DeepMF()),
