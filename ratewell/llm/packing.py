@@ -6,6 +6,8 @@ import math
 import os
 import zlib
 from collections.abc import Iterator, Mapping
+from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -16,67 +18,77 @@ from ratewell.llm.kernels import flat, slices, words
 from ratewell.llm.storage import running_sum, stored
 
 END = 1
-CACHE = 400_000
-TOKENS = "doc_id bigint, source string, n bigint, ids binary"
+CACHE = 1_000_000
+TOKENS = "doc_id bigint, source string, text_hash bigint, n bigint, ids binary"
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
     "sequence_id bigint, offset bigint, source string"
 )
 
-_tokenizers: dict[str, tuple[object, dict[int, np.ndarray]]] = {}
+class Encoder:
+    """Ids of words, each distinct word encoded once while there is room to remember it."""
 
-
-def _tokenizer(path: str):
-    if path not in _tokenizers:
+    def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = Tokenizer.from_file(path), {}
-    return _tokenizers[path]
-
-
-def encode(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of every row and the offsets of the rows.
-
-    The vocabulary drops white space and never joins across it, so a text's ids are those of its
-    words one after another; each distinct word is encoded once and remembered.
-    """
-    tokenizer, known = _tokenizer(path)
-    found = words(data, offsets, lower=False)
-    if not len(found.starts):
-        return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-    kinds, at, inverse = np.unique(found.hashes, return_index=True, return_inverse=True)
-    keys = kinds.tolist()
-    new = [k for k, h in enumerate(keys) if h not in known]
-    if new:
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = range(len(keys))
-        texts = [data[found.starts[at[k]] : found.ends[at[k]]].tobytes().decode() for k in new]
-        for k, got in zip(new, tokenizer.encode_batch(texts, add_special_tokens=False)):
-            known[keys[k]] = np.array(got.ids, np.uint32)
-    coded = [known[h] for h in keys]
-    sizes = np.array([len(c) for c in coded], np.int64)
-    begin = np.cumsum(sizes) - sizes
-    flat_ids = np.concatenate(coded)
-    counts = sizes[inverse]
-    total = np.concatenate([[0], np.cumsum(counts)])
-    source = np.arange(total[-1]) + np.repeat(begin[inverse] - total[:-1], counts)
-    return flat_ids[source], total[found.rows]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known: dict[int, int] = {}
+        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _encode(self, words_: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [x.ids for x in self.tokenizer.encode_batch_fast(words_, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter((i for ids in got for i in ids), np.uint32, int(sizes.sum())), sizes
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of every row and the offsets of the rows.
+
+        The vocabulary drops white space and never joins across it, so a text's ids are those of its
+        words one after another.
+        """
+        found = words(data, offsets, lower=False)
+        if not len(found.starts):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        kinds, at, inverse = np.unique(found.hashes, return_index=True, return_inverse=True)
+        place = np.fromiter(map(self.known.get, kinds.tolist(), repeat(-1)), np.int64, len(kinds))
+        new = np.flatnonzero(place < 0)
+        starts, ends = found.starts[at[new]].tolist(), found.ends[at[new]].tolist()
+        raw = data.tobytes()
+        ids, sizes = self._encode([raw[a:b].decode() for a, b in zip(starts, ends)])
+        store = np.concatenate([self.ids, ids]) if len(ids) else self.ids
+        stops = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        place[new] = len(self.ends) - 1 + np.arange(len(new))
+        room = max(0, CACHE - len(self.known))
+        if len(new) and room:
+            # Frequent words come early; what has no room is encoded again where it occurs.
+            self.known.update(zip(kinds[new[:room]].tolist(), place[new[:room]].tolist()))
+            self.ends = stops[: len(self.known) + 1]
+            self.ids = store[: self.ends[-1]]
+        begin, size = stops[:-1][place][inverse], np.diff(stops)[place][inverse]
+        total = np.concatenate([[0], np.cumsum(size)])
+        source = np.arange(total[-1]) + np.repeat(begin - total[:-1], size)
+        return store[source], total[found.rows]
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def _tokenize(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = flat(batch["text"])
-            for i, j in slices(offsets, 1 << 20):
-                ids, at = encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], path)
+            for i, j in slices(offsets):
+                ids, at = encoder(path)(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 kind = np.uint16 if not len(ids) or ids.max() < 1 << 16 else np.uint32
                 rows = [np.append(ids[a:b], END).astype(kind).tobytes() for a, b in zip(at[:-1], at[1:])]
                 yield pa.record_batch(
                     {
                         "doc_id": batch["doc_id"].slice(i, j - i),
                         "source": batch["source"].slice(i, j - i),
+                        "text_hash": batch["text_hash"].slice(i, j - i),
                         "n": pa.array(np.diff(at) + 1),
                         "ids": pa.array(rows, pa.binary()),
                     }
@@ -136,13 +148,13 @@ def pack(
     (the empty name); rows with equal or null ``doc_id`` are packed one by one.
     """
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source")]
-    coded = docs.select(*columns, "text").mapInArrow(_tokenize(tokenizer_path), TOKENS)
+    coded = docs.select(*columns, F.xxhash64("text").alias("text_hash"), "text").mapInArrow(_tokenize(tokenizer_path), TOKENS)
     coded = stored(coded.withColumn("key", F.monotonically_increasing_id()), "tokens")
 
     row = coded.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).first()
     total = row["n"] or 1
     buckets = max(1, math.ceil(row["rows"] / bucket_rows))
-    spot = F.xxhash64("key")
+    spot = F.xxhash64("doc_id", "text_hash")  # the same place whatever the partitioning
     queue = coded.select("key", "source", "n", spot.alias("spot"), F.pmod(spot, F.lit(buckets)).alias("bucket"))
     queue = running_sum(queue, ["source"], "bucket", ["spot", "key"], "n", "at")
 
