@@ -16,8 +16,8 @@ from ratewell.llm.storage import stored, text_bytes
 
 BUCKET_ROWS = 1 << 20
 SKIP_ROWS = 64  # entries of an index list that are skipped together
-HEAVY = 1 << 19
-HEAVY_LOCAL, HEAVY_COUNT, HEAVY_FLUSH = 3, 16, 1 << 22
+HEAVY = 1 << 20
+HEAVY_LOCAL, HEAVY_COUNT, HEAVY_FLUSH = 2, 8, 1 << 22
 
 MEMBERS = "doc_id bigint, text_hash bigint, n bigint, sid bigint"
 COUNTS = "token bigint, n bigint"
@@ -377,8 +377,8 @@ def link_sets(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     lists = stored(entries.groupBy("bucket").applyInArrow(_lists, LISTS), "lists")
 
     near = lists.select("pairs").mapInArrow(_unpack_pairs, PAIRS).groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared"))
-    twice = near.withColumn("shared", F.col("shared") * 2).where(_possible(percent)).drop("shared")
-    known = verify(twice).where(_linked(percent))
+    # Tokens that two sets meet over another head are not counted here; such pairs are left to the walk.
+    known = verify(near.where(_possible(percent)).drop("shared")).where(_linked(percent))
     roots = components(_edges(known))
     best = F.max_by(F.struct(F.col("a").alias("base"), F.col("na").alias("n_base"), "overlap"), F.struct("degree", "overlap", "a"))
     both = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("nb").alias("na"), F.col("na").alias("nb"), "overlap"))
