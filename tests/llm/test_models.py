@@ -196,3 +196,39 @@ def test_pack_stage(stages):
 def test_run_is_the_stages_in_order(spark, stages):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert sorted(map(tuple, got.collect()))[:50] == sorted(map(tuple, stages["pack"][1].collect()))[:50]
+
+
+def test_context_counts_are_exact_at_any_size():
+    import pyarrow as pa
+
+    from ratewell.llm import mixing
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(w)}" for w in rng.zipf(1.3, 300) % 500) for _ in range(12)]
+    held = [k % 4 == 0 for k in range(12)]
+    tables = [pa.table({"text": texts[a : a + 4], "held_out": held[a : a + 4], "block": pa.array([b] * 4, pa.int32())}) for b, a in enumerate(range(0, 12, 4))]
+    learned = Counter(h for t in tables for h in mixing.tokens(*mixing.flat(t.filter(pa.array([not x for x in t["held_out"].to_pylist()]))["text"])).hashes.tolist())
+    best = sorted(learned, key=lambda h: (-learned[h], h))[:60]  # the others are spelled
+    code = Code(np.array(best, np.uint64), np.array([learned[h] for h in best]), sum(learned.values()) - sum(learned[h] for h in best))
+    sent = pa.concat_tables(mixing._send_paths(code, 2)(t) for t in tables).to_pandas()
+    back = pa.concat_tables(
+        mixing._total_paths(pa.Table.from_pandas(g.reset_index(drop=True))) for _, g in sent.groupby(["context", "bucket"])
+    )
+    for k in range(mixing.CONTEXTS):
+        wanted = {}  # zeros and ones after every unit and path, counted bit by bit
+        for t in tables:
+            flags = t["held_out"].to_pylist()
+            for i, _, layout in mixing._pieces(*mixing.flat(t["text"]), code):
+                for u, v, n, o in zip(*(x.tolist() for x in layout.paths[k])):
+                    for d in range(n):
+                        key = u, d, v >> (64 - d)
+                        wanted.setdefault(key, [0, 0])[v >> (63 - d) & 1] += not flags[layout.row[o] + i]
+        for b, t in enumerate(tables):
+            leaves, _, _ = mixing._gathered(t, code, k)
+            mine = back.filter(pa.compute.equal(back["block"], b))
+            context = mixing._context(t, mine, code, k, 0)
+            for u, v, n, first in zip(*(x.tolist() for x in leaves[:3]), context.first.tolist()):
+                for d in range(n):
+                    zeros, ones = wanted[u, d, v >> (64 - d)]
+                    says = round(float(np.log((ones + 0.4) / (zeros + 0.4))) * 256) * 4 + sum(zeros + ones >= x for x in (2, 8, 64))
+                    assert abs(int(context.says[first + d]) - says) <= 4
