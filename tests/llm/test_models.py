@@ -232,3 +232,32 @@ def test_context_counts_are_exact_at_any_size():
                     zeros, ones = wanted[u, d, v >> (64 - d)]
                     says = round(float(np.log((ones + 0.4) / (zeros + 0.4))) * 256) * 4 + sum(zeros + ones >= x for x in (2, 8, 64))
                     assert abs(int(context.says[first + d]) - says) <= 4
+
+
+def test_contexts_and_stride_are_whole():
+    from ratewell.llm import mixing
+
+    hashes = np.array([7, 9, 7, 9, 5], np.uint64)
+    got = mixing.Tokens(hashes, np.array([0, 4, 5]), np.zeros(5, np.int64), np.zeros(5, np.int64))
+    units, _, _ = mixing._units(got, Code(np.array([5, 7, 9], np.uint64), np.array([1, 2, 3]), 0))
+    assert len(units) == mixing.CONTEXTS == 4
+    pairs = units[2].tolist()  # (7, 9) differs from (nothing, 9) and both ends of a row see nothing before
+    assert len({pairs[k] for k in (0, 1, 2, 3)}) == 4 and pairs[0] == pairs[4]
+    assert mixing._stage(np.array([0, 1023, 1024, 5000])).tolist() == [0, 0, 1, 4]
+
+
+def test_first_weights_use_every_training_document(spark, monkeypatch):
+    from ratewell.llm import mixing
+
+    seen = {}
+    real = mixing._fit
+
+    def fit(blocks, *rest):
+        seen["rows"] = blocks.where(~F.col("held_out")).count()
+        seen["weights"] = real(blocks, *rest)
+        return seen["weights"]
+
+    monkeypatch.setattr(mixing, "_fit", fit)
+    texts = [(k, f"same words {k % 3}") for k in range(12_000)]
+    score_texts(spark.createDataFrame(texts, "doc_id long, text string"), F.col("doc_id") % 10 == 0)
+    assert seen["rows"] == 10_800 and seen["weights"].shape == (32, 4)
