@@ -22,9 +22,9 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _IDENT = re.compile(
-    r"""(?ai)\b(?:user(?:name)?|login|account(?:_?id)?|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""
+    r"""(?ai)(?<![A-Za-z0-9])(?<!secret[_-])(?:user(?:name)?|login|account(?:_?id)?|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""
 )
-_KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+_KEY = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 _ENDPOINT = re.compile(r"""(?a)[a-z][a-z0-9+]{1,15}://[^\s"'<>]+|\b[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+:[0-9]{2,5}\b""")
 
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
