@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewell.llm.kernels import distinct_by_row, flat, shingles, slices, words
-from ratewell.llm.storage import text_bytes
+from ratewell.llm.storage import stored, text_bytes
 
 ITEMS = "item_id bigint, hashes binary"
 MATCHES = "doc_id bigint, row bigint, item_id bigint, n_shared bigint, n_item bigint"
@@ -102,9 +102,10 @@ def _search(index: Index, size: int):
 def find_items(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 80, block_bytes: int = 32 << 20) -> DataFrame:
     """Documents that hold at least ``percent`` of an item's distinct ``size``-word shingles.
 
-    Words are lower-cased (A-Z). Items are indexed in blocks of about ``block_bytes`` of text, which
-    bounds what is sent to the executors; the documents are scanned once per block and never
-    shuffled. Candidates from the signatures are verified on the exact shingle sets.
+    Words are lower-cased (A-Z). Items are indexed in blocks of about ``block_bytes`` of text. With more
+    than one, the matches of a block are stored before the next index is built, so that the driver
+    and a closure hold one index, however large the benchmark. The documents are scanned once per
+    block and never shuffled. Candidates from the signatures are verified on the exact shingle sets.
 
     Returns ``doc_id, row`` (``xxhash64`` of the text), ``item_id, n_shared, n_item``, one row per
     document row and item row. An item of fewer than ``size`` words is one shingle, its whole
@@ -115,13 +116,15 @@ def find_items(docs: DataFrame, items: DataFrame, size: int = 5, percent: int =
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.length("text") > 0)
     blocks = max(1, math.ceil(text_bytes(items)[1] / block_bytes))
-    sets = items.withColumn("_block", F.pmod(F.xxhash64("text"), F.lit(blocks)))
+    sets = items.withColumn("_block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     found = None
     for k in range(blocks):
         rows = sets.where(F.col("_block") == k).select("item_id", "text").mapInArrow(_sets(size), ITEMS).collect()
         full = [(r["item_id"], np.frombuffer(bytes(r["hashes"]), np.uint64)) for r in rows if r["hashes"]]
         known = [(i, s) for i, s in full if i is not None]
         part = docs.mapInArrow(_search(Index([i for i, _ in known], [s for _, s in known], percent), size), MATCHES)
+        part = stored(part, "matches") if blocks > 1 else part
+        del rows, full, known
         found = part if found is None else found.unionByName(part)
     return found
 

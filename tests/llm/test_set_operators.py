@@ -170,3 +170,12 @@ def test_search_against_all_products(spark, shard_rows):
             wanted += [(i, rank, j, -s) for rank, (s, j) in enumerate(hits, 1)]
     assert got == sorted(wanted)
     assert top_k(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_stored_matches_hold_no_index(spark, docs):
+    items = spark.createDataFrame([(i, "one two three") for i in range(40)], "item_id long, text string")
+    wanted = sorted(map(tuple, find_items(docs, items).collect()), key=str)
+    got = find_items(docs, items, block_bytes=100)  # copies of an item are dealt over the blocks too
+    plan = got._jdf.queryExecution().logical().toString()
+    assert "Union" in plan and "MapInArrow" not in plan  # each closure would keep its index on the driver
+    assert sorted(map(tuple, got.collect()), key=str) == wanted and wanted
