@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewell.llm.contamination import find_items
+from ratewell.llm.dialogue import damage, digests, repair
 from ratewell.llm.jaccard import link_sets
 from ratewell.llm.langid import identify
 from ratewell.llm.lines import dedup_lines
@@ -17,6 +18,7 @@ from ratewell.llm.secrets import BASE, scan_secrets
 from ratewell.llm.sharding import kd_shards
 from ratewell.llm.substrings import remove_repeats
 from ratewell.llm.topk import scaled, top_k
+from ratewell.llm.whitening import as_longs, usable, whiten
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +95,28 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", covered.alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where(usable()).select("vec_id", as_longs().alias("x"))
+    rows, fit = whiten(vectors)
+    shares = F.array(*map(F.lit, (fit.values / fit.trace).tolist() if fit and len(fit.values) else [0.0]))
+    return rows.select(
+        "vec_id",
+        "component",
+        F.lit(fit.n if fit else 0).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("component") - 1).alias("explained"),
+        F.lit(fit.identity_error if fit else 0.0).alias("identity_error"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    found = digests(repair(damage(turns), turns.select("conv_id")))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return found.select("conv_id", *counts, "audit", "repaired_sha256")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_jaccard_join": op2_jaccard_join,
@@ -104,6 +128,8 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 _SHINGLES = """
@@ -112,6 +138,83 @@ _SHINGLES = """
         SELECT {id}, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
             'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {table}) WHERE len(w) > 0)"""
 
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({key}) + 1), lambda i: ascii({key}[i])::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(0, 8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+def _repair_sql() -> str:
+    """Walks every conversation from its end and keeps, for each state, the least (cost, audit) and the text it leaves."""
+    leads = {"u": {0: 2, 1: 2, 3: 2}, "a": {2: 3}, "s": {0: 1}}
+    wanted, names = {0: 2, 1: 2, 2: 3, 3: 2}, {2: "user", 3: "assistant"}
+
+    def after(state: str, cost: str, letter: str, line: str | None) -> str:
+        kept = f"list_prepend({line}, ({state}).t)" if line else f"({state}).t"
+        return f"{{c: ({state}).c + {cost}, a: '{letter}' || ({state}).a, t: {kept}}}"
+
+    plain = []
+    for q in range(4):
+        keep = " ".join(
+            f"WHEN i = '{x}' THEN {after(f's{to[q]}', 'x', 'K', line='line')}" for x, to in leads.items() if q in to
+        )
+        rename = f"role_{wanted[q]}"
+        options = [
+            after(f"s{q}", "4", "D", None),
+            f"CASE WHEN fault > 1 THEN NULL {keep} END",
+            f"CASE WHEN fault > 1 THEN NULL ELSE {after(f's{wanted[q]}', '3 + x', 'R', rename)} END",
+        ]
+        plain.append(f"list_min(list_filter([{', '.join(options)}], lambda o: o IS NOT NULL)) AS b{q}")
+    closed = []
+    for q in range(4):
+        chain, at, options = f"b{q}", q, [f"b{q}"]
+        steps: list[int] = []
+        for _ in range(3):
+            at = wanted[at]
+            steps.append(at)
+            chain = f"b{at}"
+            for to in reversed(steps):
+                chain = after(chain, "3", "I", f"'{names[to]}:'")
+            options.append(chain)
+        closed.append(f"list_min([{', '.join(options)}]) AS s{q}")
+    return f"""
+        WITH RECURSIVE raw AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+        lots AS (SELECT *, {_CRC.format(key="key")} % 20 AS lot FROM raw),
+        hurt AS (
+            SELECT conv_id, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role,
+                CASE lot WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                unnest(range(CASE WHEN lot = 3 THEN 2 ELSE 1 END)) AS copy FROM lots WHERE lot <> 0),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS p,
+                regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS bare, left(role, 1) AS i FROM hurt),
+        rows AS (
+            SELECT *, lag(i) OVER (PARTITION BY conv_id ORDER BY p) AS before, CASE WHEN bare = '' THEN 2
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 3
+                WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS fault FROM placed),
+        counts AS (
+            SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+                count(*) FILTER (fault = 2)::BIGINT AS blank, count(*) FILTER (fault = 3)::BIGINT AS duplicate,
+                count(*) FILTER (fault = 1)::BIGINT AS truncated,
+                count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal
+            FROM rows GROUP BY conv_id),
+        walk AS (
+            SELECT conv_id, n + 1 AS p, {{c: 0, a: '', t: []::VARCHAR[]}} AS s0, {{c: 6, a: 'II', t: ['user:', 'assistant:']}} AS s1,
+                {{c: 3, a: 'I', t: ['assistant:']}} AS s2, {{c: 0, a: '', t: []::VARCHAR[]}} AS s3 FROM counts
+            UNION ALL
+            SELECT conv_id, p, {', '.join(closed)} FROM (
+                SELECT conv_id, q AS p, {', '.join(plain)} FROM (
+                    SELECT w.*, rows.p AS q, i, fault, CASE WHEN fault = 1 THEN 3 ELSE 0 END AS x, role || ':' || text AS line,
+                        'user:' || text AS role_2, 'assistant:' || text AS role_3
+                    FROM walk w JOIN rows ON rows.conv_id IS NOT DISTINCT FROM w.conv_id AND rows.p = w.p - 1
+                )))
+        SELECT ids.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+            coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce((s0).c, 0)::BIGINT AS cost,
+            coalesce((s0).a, '') AS audit, sha256(coalesce(array_to_string((s0).t, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) ids
+        LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ids.conv_id
+        LEFT JOIN walk ON walk.conv_id IS NOT DISTINCT FROM ids.conv_id AND walk.p = 1"""
+
+
 ORACLE = {
     "op2_jaccard_join": f"""
         WITH RECURSIVE sh AS ({_SHINGLES.format(id="doc_id", table="documents")}),
@@ -168,4 +271,5 @@ ORACLE = {
             FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op13_conversation_repair": _repair_sql(),
 }
