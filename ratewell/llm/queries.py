@@ -11,6 +11,7 @@ from ratewell.llm.contamination import find_items
 from ratewell.llm.dialogue import damage, digests, repair
 from ratewell.llm.jaccard import link_sets
 from ratewell.llm.langid import identify
+from ratewell.llm.licenses import scan_licenses
 from ratewell.llm.lines import dedup_lines
 from ratewell.llm.mixing import score_texts
 from ratewell.llm.packing import pack
@@ -110,6 +111,26 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(documents(spark, sf_dir))
+    phrases = F.filter("spans", lambda s: s["how"] == "phrase")
+
+    def labels(spans: Column | str) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+
+    places = F.transform(phrases, lambda s: s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(phrases).cast("long").alias("n_base"),
+        F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"),
+        labels(phrases).alias("base_labels"),
+        labels("spans").alias("labels"),
+        F.when(F.col("n_words") > 0, F.col("n_covered") / F.col("n_words")).otherwise(0.0).alias("score"),
+    )
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     found = digests(repair(damage(turns), turns.select("conv_id")))
@@ -129,6 +150,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_license_scan": op12_license_scan,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
