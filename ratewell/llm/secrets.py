@@ -25,7 +25,9 @@ _IDENT = re.compile(
     r"""(?ai)(?<![A-Za-z0-9])(?<!secret[_-])(?:user(?:name)?|login|account(?:_?id)?|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""
 )
 _KEY = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
-_ENDPOINT = re.compile(r"""(?a)[a-z][a-z0-9+]{1,15}://[^\s"'<>]+|\b[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+:[0-9]{2,5}\b""")
+_URL = re.compile(r"""(?a)[a-z][a-z0-9+]{1,15}://[^\s"'<>]+""")
+_RUN = re.compile(r"(?a)[A-Za-z0-9.-]++(?P<port>:[0-9]{2,5}\b)?")  # every sign is read once, whatever the run
+_EDGE = re.compile(r"(?a)\b[A-Za-z0-9-]")
 
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -47,11 +49,48 @@ def _mixed(token: str) -> bool:
     return any(c.isdigit() for c in token) and any(c.islower() for c in token) and any(c.isupper() for c in token)
 
 
+def _host_start(text: str, low: int, high: int) -> int:
+    """First place of ``[low, high)`` from which dotted names reach up to ``high``; -1 if none.
+
+    A name begins at a word boundary, names are not empty and there are two at least.
+    """
+    if text[high - 1] == ".":
+        return -1
+    gap = text.rfind("..", low, high)
+    low = gap + 2 if gap >= 0 else low + (text[low] == ".")
+    while (dot := text.find(".", low, high)) >= 0:
+        if found := _EDGE.search(text, low, dot):
+            return found.start()
+        low = dot + 1
+    return -1
+
+
+def endpoints(text: str) -> list[tuple[int, int, str]]:
+    """URLs, and dotted host names with a port that lie outside them."""
+    urls = [m.span() for m in _URL.finditer(text)]
+    found, k = [(a, b, "endpoint") for a, b in urls], 0
+    at = 0
+    while run := _RUN.search(text, at):
+        low, at = run.span()
+        while k < len(urls) and urls[k][1] <= low:
+            k += 1
+        if k < len(urls) and urls[k][0] < at:  # the run touches a URL: go on behind it
+            at = max(at if not run["port"] else 0, urls[k][1])
+            continue
+        if run["port"]:
+            start = _host_start(text, low, run.start("port"))
+            if start >= 0:
+                found.append((start, at, "endpoint"))
+            else:
+                at = run.start("port") + 1  # the digits may begin a name
+    return found
+
+
 def weak_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Parts that only mean something beside another part; none overlaps a base span or a weak part before it."""
     found: list[tuple[int, int, str]] = []
     if ":" in text:
-        found += [(m.start(), m.end(), "endpoint") for m in _ENDPOINT.finditer(text)]
+        found += endpoints(text)
     if ":" in text or "=" in text:
         found += [(m.start(), m.end(), "ident") for m in _IDENT.finditer(text)]
     found += [(m.start(), m.end(), "key") for m in _KEY.finditer(text) if _mixed(m[0])]

@@ -176,3 +176,25 @@ def test_handwritten_credentials(spark):
     frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CREDENTIALS)], "doc_id long, text string")
     got = {r.doc_id: [tuple(s) for s in r.spans] for r in scan_secrets(frame).collect()}
     assert [got[i] for i in range(len(CREDENTIALS))] == [wanted for _, wanted in CREDENTIALS]
+
+
+def test_endpoints_by_hand():
+    from ratewell.llm.secrets import endpoints
+
+    def cut(text):
+        return sorted(text[a:b] for a, b, _ in endpoints(text))
+
+    assert cut("see db-1.example.org:5432, and a.b:80.c.d:90") == ["a.b:80", "c.d:90", "db-1.example.org:5432"]
+    assert cut("x_a.b.c:80 localhost:80 .a.b:443 a..b.c:21 a.:22 a.b:1 a.b:123456 a.b:80_") == ["a.b:443", "b.c:21", "b.c:80"]
+    assert cut("https://u@host.net:8443/p?q=1 then ftp://a.b:21") == ["ftp://a.b:21", "https://u@host.net:8443/p?q=1"]
+    assert cut("-a.b:80 é-a.b:81 _-a.b:82 10.0.0.1:8080") == ["-a.b:82", "10.0.0.1:8080", "a.b:80", "a.b:81"]
+
+
+def test_scan_is_linear_in_long_texts():
+    import time
+
+    texts = [": " + "a-" * 5_000_000 + " x", ": " + "a." * 5_000_000 + " x", "password" + " " * 10_000_000, "aB1" * 3_300_000 + "==="]
+    for text in texts:
+        began = time.perf_counter()
+        weak_spans(text, base_spans(text))
+        assert time.perf_counter() - began < 10
