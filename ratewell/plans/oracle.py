@@ -127,6 +127,89 @@ coded AS (
   FROM s JOIN code USING (user_id) GROUP BY s.user_id, s.item_id, s.split
 )"""
 
+_W1, _B1 = _formula("j", "f", 4), f"({_formula('j', 0, 5)} + 3e-5)"
+
+
+def _network_step(bilinear: bool) -> str:
+    """One step of the network models: relu back-propagation summed by parameter."""
+    width = 11 if bilinear else 10
+
+    def own(kind: str) -> str:
+        return f"{_formula(f'{kind}_id', 'pos', 0 if kind == 'user' else 1)}"
+
+    def rows(kind: str, other: str, shift: int) -> str:
+        plain = f"CASE WHEN pos = 10 THEN 1 ELSE {_formula(f'{other}_id', 'pos', 0 if other == 'user' else 1)} END" if bilinear else "0"
+        back = f"CASE WHEN pos = 10 THEN 0 ELSE list_sum([back[j + 1] * ({_formula('j', f'(pos + {shift})', 4)}) FOR j IN range(10)]) END"
+        return f"""SELECT '{kind}' AS kind, {kind}_id AS idx, pos, sum(e * ({plain}) + {back}) AS g, any_value({own(kind)}) AS v
+  FROM b, (SELECT unnest(range({width})) AS pos) GROUP BY {kind}_id, pos"""
+
+    value = _PERCEPTRON.replace("greatest(0.0, ", "greatest(0.0, 3e-5 + ")
+    value = f"{_BILINEAR} + {value}" if bilinear else value
+    inputs = f"CASE WHEN f < 10 THEN {_formula('user_id', 'f', 0)} ELSE {_formula('item_id', '(f - 10)', 1)} END"
+    return f"""WITH {LABELLED},
+x AS (
+  SELECT user_id, item_id, split, ({value}) - (rating - (SELECT m FROM gm)) AS e,
+         [{_B1} + list_sum([({_formula('user_id', 'f', 0)}) * ({_W1}) FOR f IN range(10)])
+          + list_sum([({_formula('item_id', 'f', 1)}) * ({_formula('j', '(f + 10)', 4)}) FOR f IN range(10)]) FOR j IN range(10)] AS z
+  FROM s
+),
+b AS (
+  SELECT *, [CASE WHEN z[j + 1] > 0 THEN e * ({_formula('j', 0, 6)}) ELSE 0 END FOR j IN range(10)] AS back
+  FROM x WHERE split = 'train'
+),
+l AS (SELECT count(*) * sqrt(avg(e * e) + 1e-8) AS nl FROM b),
+unit AS (SELECT unnest(range(10)) AS j),
+spot AS (SELECT unnest(range(20)) AS f),
+g AS (
+  {rows('user', 'item', 0)}
+  UNION ALL {rows('item', 'user', 10)}
+  UNION ALL SELECT 'net', 0, j * 20 + f, sum(back[j + 1] * ({inputs})), any_value({_W1}) FROM b, unit, spot GROUP BY j, f
+  UNION ALL SELECT 'net', 0, 200 + j, sum(back[j + 1]), any_value({_B1}) FROM b, unit GROUP BY j
+  UNION ALL SELECT 'net', 0, 210 + j, sum(e * greatest(z[j + 1], 0)), any_value({_formula('j', 0, 6)}) FROM b, unit GROUP BY j
+  UNION ALL SELECT 'net', 0, 220, sum(e), any_value({_formula(0, 0, 7)}) FROM b
+),
+still AS (
+  SELECT 'user' AS kind, user_id AS idx, pos, {own('user')} AS v FROM (SELECT DISTINCT user_id FROM s), (SELECT unnest(range({width})) AS pos)
+  UNION ALL SELECT 'item', item_id, pos, {own('item')} FROM (SELECT DISTINCT item_id FROM s), (SELECT unnest(range({width})) AS pos)
+)
+SELECT kind, idx::BIGINT AS idx, pos::INTEGER AS pos, round(v - (g / (SELECT nl FROM l) + 1e-5 * v), 6) + 0.0 AS value FROM g
+UNION ALL
+SELECT kind, idx::BIGINT, pos::INTEGER, round(v - 1e-5 * v, 6) + 0.0
+FROM still WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.kind = still.kind AND g.idx = still.idx AND g.pos = still.pos)"""
+
+
+_CODER_STEP = f"""WITH {LABELLED},
+t AS (SELECT user_id, item_id, rating - (SELECT m FROM gm) AS x FROM train),
+unit AS (SELECT unnest(range(700)) AS j),
+code AS (
+  SELECT user_id, j, tanh({_formula('j', 0, 11)} + sum(x * ({_formula('item_id', 'j', 8)}))) AS a FROM t, unit GROUP BY user_id, j
+),
+e AS (
+  SELECT user_id, item_id, any_value(x) AS x, sum(a * ({_formula('item_id', 'j', 9)})) + {_formula('item_id', 0, 10)} - any_value(x) AS e
+  FROM t JOIN code USING (user_id) GROUP BY user_id, item_id
+),
+l AS (SELECT count(*) * sqrt(avg(e * e) + 1e-8) AS nl FROM e),
+back AS (
+  SELECT user_id, j, any_value(a) AS a, sum(e * ({_formula('item_id', 'j', 9)})) * (1 - any_value(a) * any_value(a)) AS b
+  FROM e JOIN code USING (user_id) GROUP BY user_id, j
+),
+g AS (
+  SELECT item_id, j, sum(x * b) AS g_in, sum(e * a) AS g_out FROM e JOIN back USING (user_id) GROUP BY item_id, j
+),
+p AS (
+  SELECT 'item' AS kind, item_id AS idx, j AS pos, g_in AS g, {_formula('item_id', 'j', 8)} AS v FROM g
+  UNION ALL SELECT 'item', item_id, 700 + j, g_out, {_formula('item_id', 'j', 9)} FROM g
+  UNION ALL SELECT 'item', item_id, 1400, sum(e), any_value({_formula('item_id', 0, 10)}) FROM e GROUP BY item_id
+  UNION ALL SELECT 'net', 0, j, sum(b), any_value({_formula('j', 0, 11)}) FROM back GROUP BY j
+),
+still AS (
+  SELECT item_id, j FROM (SELECT DISTINCT item_id FROM s WHERE item_id NOT IN (SELECT item_id FROM t)), (SELECT unnest(range(1401)) AS j)
+)
+SELECT kind, idx::BIGINT AS idx, pos::INTEGER AS pos, round(v - 0.1 * g / (SELECT nl FROM l), 6) + 0.0 AS value FROM p
+UNION ALL
+SELECT 'item', item_id::BIGINT, j::INTEGER, round(CASE WHEN j < 700 THEN {_formula('item_id', 'j', 8)}
+  WHEN j < 1400 THEN {_formula('item_id', '(j - 700)', 9)} ELSE {_formula('item_id', 0, 10)} END, 6) + 0.0 FROM still"""
+
 _RMSE = "round(sqrt(avg((y - p) * (y - p)) + 1e-8), 6)"
 
 ORACLE: dict[str, str] = {
@@ -218,6 +301,12 @@ v AS (
 SELECT kind, idx, CAST(pos AS INTEGER) AS pos,
        round(v - 1.0 * (coalesce(g, 0) / (SELECT nl FROM l) + 1e-5 * v), 6) + 0.0 AS value
 FROM v LEFT JOIN g USING (kind, idx, pos)""",
+    "deep_sgd_step": _network_step(False),
+    "residual_sgd_step": _network_step(True),
+    "autorec_sgd_step": _CODER_STEP,
+    "user_batches": f"""WITH {LABELLED}
+SELECT epoch::INTEGER AS epoch, (row_number() OVER (PARTITION BY epoch ORDER BY md5('42:' || epoch || ':' || user_id), user_id) - 1) // 128 AS batch, user_id
+FROM (SELECT DISTINCT user_id FROM train), (SELECT unnest([0, 1]) AS epoch)""",
     "roundtrip_dat": f"WITH {RATINGS} SELECT user_id, item_id, rating FROM r",
     "roundtrip_csv": f"WITH {RATINGS} SELECT user_id AS user_idx, item_id AS item_idx, rating FROM r",
     "roundtrip_split": f"WITH {LABELLED} SELECT user_id, item_id, rating, split FROM s",

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewell.functions import batch_mean_rmse, masked_rmse, rmse
-from ratewell.operators import full_batch, scoring
+from ratewell.operators import full_batch, scoring, synchronous
 from ratewell.operators import prepare as prep
 from ratewell.operators.als import attach_predictions, fit_als, predict_als
+from ratewell.operators.gradients import PairNet, RowCoder
 from ratewell.operators.neighbors import KnnModel, entity_stats
 from ratewell.operators.numbering import batch_no, dense_index, n_distinct
 from ratewell.operators.training import AutoRec, DeepMF, MatrixFactorization, ResidualMF
@@ -301,6 +302,51 @@ def q_mf_sgd_step(spark, sf_dir):
     )
 
 
+def _positions(state: DataFrame) -> DataFrame:
+    return state.select("kind", "idx", F.posexplode("values").alias("pos", "value")).select("kind", "idx", "pos", _r6("value"))
+
+
+def _network_step(model: PairNet):
+    def run(spark, sf_dir):
+        labelled = _stored(spark, sf_dir)
+        train = prep.part_of(labelled, "train")
+        centred = prep.center(train, prep.global_mean(train))
+        net = scoring.Dense.from_formula(K, H)
+        # Formula values make hidden inputs of exactly 0, where the sign would hang on rounding.
+        net = scoring.Dense(net.w1, [b + 3e-5 for b in net.b1], net.w2, net.b2)
+        rows = synchronous.network_row(spark, net)
+        for kind, id_col, table in zip(("user", "item"), (USER, ITEM), _formula_tables(labelled)):
+            values = F.concat("factors", F.array("bias")) if model.bilinear else F.col("factors")
+            rows = rows.unionByName(table.select(F.lit(kind).alias("kind"), F.col(id_col).cast("long").alias("idx"), values.alias("values")))
+        state = synchronous.at_rest(rows)
+        return _positions(synchronous.pair_step(centred, cut_lineage(state), model, user=USER, item=ITEM)[0])
+
+    return run
+
+
+def q_autorec_sgd_step(spark, sf_dir):
+    labelled = _stored(spark, sf_dir)
+    train = prep.part_of(labelled, "train")
+    centred = prep.center(train, prep.global_mean(train))
+    cells = centred.select(F.col(USER).alias("user"), F.col(ITEM).alias("item"), F.col("rating").alias("y"))
+    coder = scoring.formula_coder(labelled.select(ITEM).distinct(), ITEM, CODER_H)
+    parts = coder.groupBy(ITEM).agg(
+        F.array_sort(F.collect_list(F.struct("part", "w_in", "w_out"))).alias("parts"), F.first("b_out").alias("b_out")
+    )
+    flat = [F.flatten(F.col("parts")[c]) for c in ("w_in", "w_out")]
+    rows = parts.select(F.lit("item").alias("kind"), F.col(ITEM).cast("long").alias("idx"), F.concat(*flat, F.array("b_out")).alias("values"))
+    bias = [("net", 0, scoring.formula_hidden_bias(CODER_H))]
+    rows = rows.unionByName(spark.createDataFrame(bias, "kind string, idx long, values array<double>"))
+    state = cut_lineage(synchronous.at_rest(rows))
+    return _positions(synchronous.coder_step(cells, state, RowCoder(CODER_H, 0))[0])
+
+
+def q_user_batches(spark, sf_dir):
+    """Batches of 128 users in the orders of two epochs."""
+    train = prep.part_of(_labelled(spark, sf_dir), "train")
+    return synchronous.user_batches(train, 128, 2, user=USER).select("epoch", "batch", F.col("user").alias(USER))
+
+
 def _trained(trainer):
     def run(spark, sf_dir):
         train, test = (
@@ -400,6 +446,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "masked_rmse_zero": q_masked_rmse_zero,
     "metrics_roundtrip": q_metrics_roundtrip,
     "mf_sgd_step": q_mf_sgd_step,
+    "deep_sgd_step": _network_step(PairNet(K, H, False)),
+    "residual_sgd_step": _network_step(PairNet(K, H, True)),
+    "autorec_sgd_step": q_autorec_sgd_step,
+    "user_batches": q_user_batches,
     "mf_train": _trained(MatrixFactorization()),
     "deep_train": _trained(DeepMF()),
     "residual_train": _trained(ResidualMF()),
