@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratewell.functions.scalars import pair_hash, pair_key
 from ratewell.operators.numbering import global_row_number
+from ratewell.session import cut_lineage
 
 
 def as_triples(df: DataFrame, user: str = "user_idx", item: str = "item_idx", rating: str = "rating") -> DataFrame:
@@ -46,7 +47,11 @@ def keep_top(df: DataFrame, top: DataFrame, key: str) -> DataFrame:
 
 
 def filter_active(df: DataFrame, max_users: int, max_items: int, user: str = "user_id", item: str = "item_id") -> DataFrame:
-    """Keep the busiest users and items; both rankings come from the unfiltered table."""
+    """Keep the busiest users and items; both rankings come from the unfiltered table.
+
+    The table is stored once: the two rankings and the filter scan that, not what it was made from.
+    """
+    df = cut_lineage(df)
     top_users = top_n(activity(df, user), user, max_users)
     top_items = top_n(activity(df, item), item, max_items)
     return keep_top(keep_top(df, top_items, item), top_users, user)

@@ -8,17 +8,21 @@ at run time.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewell.functions.scalars import dot, formula_value
 
-PART = 32  # hidden units per stored piece of an autoencoder row; wider sums outgrow compiled code
+PART = 32  # hidden units per stored piece of an autoencoder row
+BLOCK_USERS = 2048  # users that meet one chunk of items in one task, on average
+CHUNK_ITEMS = 2048
+USERS_AT_ONCE = 256  # codes multiplied at once
 
 
 @dataclass(frozen=True)
@@ -126,20 +130,52 @@ def formula_hidden_bias(h: int, table: int = 11) -> list[float]:
     return [((j * 31 + table * 13) % 101 - 50) / 100.0 for j in range(h)]
 
 
-def _pieces(values: Sequence[float]) -> Column:
-    """Literal values in pieces of equal width, the last one filled with zeros."""
-    width = min(PART, len(values))
-    full = [*map(float, values), *[0.0] * (-len(values) % width)]
-    return F.array(*[F.array(*[F.lit(v) for v in full[p : p + width]]) for p in range(0, len(full), width)])
-
-
-def _row_dot(width: int):
-    @F.arrow_udf("double")
-    def product(left: pa.Array, right: pa.Array) -> pa.Array:
-        a, b = (rows.flatten().to_numpy().reshape(-1, width) for rows in (left, right))
-        return pa.array(np.einsum("bj,bj->b", a, b))
-
-    return product
+def _vectors(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _encode_block(key: tuple, ratings: pa.Table, items: pa.Table) -> pa.Table:
+    """Sums of rating times input weights for one block of users and one chunk of items."""
+    if not ratings.num_rows or not items.num_rows:
+        return pa.table({"id": pa.array([], pa.int64()), "vector": pa.array([], pa.list_(pa.float64()))})
+    weights = _vectors(items["vector"], len(items["vector"][0]))
+    order = np.argsort(items["id"].to_numpy())
+    ids = items["id"].to_numpy()[order]
+    known, at_user = np.unique(ratings["user"].to_numpy(), return_inverse=True)
+    at_item = np.minimum(np.searchsorted(ids, ratings["item"].to_numpy()), ids.size - 1)
+    hit = ids[at_item] == ratings["item"].to_numpy()
+    x = np.zeros((known.size, ids.size))
+    np.add.at(x, (at_user[hit], at_item[hit]), ratings["x"].to_numpy()[hit])
+    sums = x @ weights[order]
+    return pa.table({"id": known, "vector": pa.ListArray.from_arrays(np.arange(known.size + 1, dtype=np.int32) * sums.shape[1], sums.ravel())})
+
+
+def _decode_block(b_in: np.ndarray) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
+    """Asked cells of one block of users and one chunk of items: one product of codes and output weights."""
+    h = b_in.size
+
+    def run(key: tuple, asked: pa.Table, rows: pa.Table) -> pa.Table:
+        users, items = asked["user"].to_numpy(), asked["item"].to_numpy()
+        near_u, at_user = np.unique(users, return_inverse=True)
+        near_i, at_item = np.unique(items, return_inverse=True)
+        sums, weights = np.tile(b_in, (near_u.size, 1)), np.zeros((near_i.size, h + 1))
+        for kind, near, table, width in (("user", near_u, sums, h), ("item", near_i, weights, h + 1)):
+            mine = rows.filter(pc.equal(rows["kind"], kind))
+            if mine.num_rows and near.size:
+                ids = mine["id"].to_numpy()
+                place = np.minimum(np.searchsorted(near, ids), near.size - 1)
+                hit = near[place] == ids
+                np.add.at(table, place[hit], _vectors(mine["vector"], width)[hit])
+        guess = np.empty(users.size)
+        order = np.argsort(at_user, kind="stable")
+        edges = np.searchsorted(at_user[order], np.arange(0, near_u.size + USERS_AT_ONCE, USERS_AT_ONCE))
+        for n, (low, high) in enumerate(zip(edges[:-1], edges[1:])):
+            first, pick = n * USERS_AT_ONCE, order[low:high]
+            product = np.tanh(sums[first : first + USERS_AT_ONCE]) @ weights[:, :h].T
+            guess[pick] = product[at_user[pick] - first, at_item[pick]] + weights[at_item[pick], h]
+        return pa.table({"user": users, "item": items, "prediction": guess})
+
+    return run
 
 
 def score_autorec(
@@ -154,42 +190,47 @@ def score_autorec(
     """Reconstruct the asked cells of each user's rating row; dropout is off when scoring.
 
     ``items`` holds the two weight vectors and output bias of each item, cut in pieces of
-    ``PART`` hidden units: ``(item, part, w_in, w_out, b_out)``. The encoder is a join and
-    a sum per (user, piece) with map-side partial sums, so a user with a very long row is
-    added up in many tasks. A user without ratings is encoded from the bias alone; an item that
-    was not part of the fit gets 0, the train mean on the centred scale.
+    ``PART`` hidden units: ``(item, part, w_in, w_out, b_out)``. Users are dealt into blocks and items
+    into chunks, and each block meets each chunk twice: a matrix product of ratings and input weights
+    gives sums whose total over the chunks is the code, and one of codes and output weights gives the
+    asked cells. A group holds ``BLOCK_USERS`` users and ``CHUNK_ITEMS`` items on average, however long a
+    user's row is. A user without ratings is encoded from the bias alone; an item that was not part of
+    the fit gets 0, the train mean on the centred scale, and so does a pair with a null id. Every row of
+    ``pairs`` stays, with its other columns.
     """
     h = len(b_in)
-    width = min(PART, h)
-    sums = (
-        ratings.select(user, item, F.col(rating).alias("_x"))
-        .join(items.select(item, "part", "w_in"), item)
-        .groupBy(user, "part")
-        .agg(*[F.sum(F.col("_x") * F.get("w_in", F.lit(j))).alias(f"_s{j}") for j in range(width)])
-    )
-    part = F.col("part")
-    biases = _pieces(b_in)
-    code = sums.select(
-        user,
-        "part",
-        F.array(
-            *[F.coalesce(F.tanh(F.get(F.get(biases, part), F.lit(j)) + F.col(f"_s{j}")), F.lit(0.0)) for j in range(width)]
-        ).alias("_code"),
+    sizes = pairs.agg(F.approx_count_distinct(user).alias("u")).crossJoin(items.agg(F.approx_count_distinct(item).alias("i"))).first()
+    blocks, chunks = max(1, math.ceil(sizes["u"] / BLOCK_USERS)), max(1, math.ceil(sizes["i"] / CHUNK_ITEMS))
+
+    def block(column: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(blocks)).cast("int").alias("block")
+
+    def chunk(column: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(column).cast("long"), F.lit(1)), F.lit(chunks)).cast("int").alias("chunk")
+
+    def everywhere(many: int, name: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(many - 1))).alias(name)
+
+    whole = items.groupBy(item).agg(
+        F.array_sort(F.collect_list(F.struct("part", "w_in", "w_out"))).alias("parts"), F.max("b_out").alias("b_out")
     )
-    rest = _pieces([math.tanh(b) for b in b_in])
-    # The last piece may be shorter than the others; zeros fill it up.
-    padded = F.slice(F.concat("w_out", F.array_repeat(F.lit(0.0), width)), 1, width).alias("w_out")
-    # Narrow rows travel to the codes first; the item weights, wide too, join last.
-    joined = (
-        pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit((h - 1) // PART))))
-        .join(code, [user, "part"], "left")
-        .withColumn("_code", F.coalesce("_code", F.get(rest, part)))
-        .join(items.select(item, "part", padded, "b_out"), [item, "part"], "left")
-        .withColumn("w_out", F.coalesce("w_out", F.array_repeat(F.lit(0.0), width)))
+    into, out = F.flatten(F.col("parts.w_in")), F.concat(F.flatten(F.col("parts.w_out")), F.array(F.coalesce("b_out", F.lit(0.0))))
+    ident = F.col(item).cast("long").alias("id")
+    cells = ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull()).select(
+        F.col(user).cast("long").alias("user"), F.col(item).cast("long").alias("item"), F.col(rating).cast("double").alias("x"), block(user), chunk(item)
     )
-    keep = pairs.columns
-    return (
-        joined.select(*keep, "b_out", _row_dot(width)("_code", "w_out").alias("_share"))
-        .groupBy(*keep)
-        .agg((F.sum("_share") + F.coalesce(F.max("b_out"), F.lit(0.0))).alias("prediction"))
+    inputs = whole.select(ident, into.alias("vector"), chunk(item), everywhere(blocks, "block"))
+    sums = cells.groupBy("block", "chunk").cogroup(inputs.groupBy("block", "chunk")).applyInArrow(_encode_block, "id long, vector array<double>")
+    outputs = whole.select(F.lit("item").alias("kind"), ident, out.alias("vector"), chunk(item), everywhere(blocks, "block"))
+    codes = sums.select(F.lit("user").alias("kind"), "id", "vector", everywhere(chunks, "chunk"), block("id"))
+    asked = pairs.where(F.col(user).isNotNull() & F.col(item).isNotNull()).select(
+        F.col(user).cast("long").alias("user"), F.col(item).cast("long").alias("item")
+    ).distinct().select("*", block("user"), chunk("item"))
+    scored = (
+        asked.groupBy("block", "chunk")
+        .cogroup(outputs.unionByName(codes).groupBy("block", "chunk"))
+        .applyInArrow(_decode_block(np.asarray(b_in, dtype=float)), "user long, item long, prediction double")
     )
+    found = scored.select(F.col("user").alias("_u"), F.col("item").alias("_i"), "prediction")
+    met = pairs.join(found, (pairs[user].cast("long") == found["_u"]) & (pairs[item].cast("long") == found["_i"]), "left")
+    return met.select(*[pairs[c] for c in pairs.columns], F.coalesce("prediction", F.lit(0.0)).alias("prediction"))

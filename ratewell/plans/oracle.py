@@ -263,6 +263,9 @@ SELECT user_id, item_id, round(
       list_sum([({_formula('user_id', 'f', 0)}) * ({_formula('item_id', 'f', 1)}) FOR f IN range(10)]) ELSE 0 END, 6) + 0.0 AS prediction
 FROM a LEFT JOIN ku USING (user_id) LEFT JOIN ki USING (item_id)""",
     "als_optimality": f"WITH {LABELLED} SELECT DISTINCT user_id, 0.0::DOUBLE AS residual FROM train",
+    "als_products": f"""WITH {LABELLED}
+SELECT user_id, item_id, 0.0::DOUBLE AS gap FROM test
+WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)""",
     "attached": f"""WITH {LABELLED}
 SELECT user_id, item_id, rating, round((user_id * 31 + item_id * 17) % 101 / 20, 6) + 0.0 AS prediction
 FROM s WHERE (user_id + item_id) % 7 <> 0""",
@@ -301,6 +304,20 @@ v AS (
 SELECT kind, idx, CAST(pos AS INTEGER) AS pos,
        round(v - 1.0 * (coalesce(g, 0) / (SELECT nl FROM l) + 1e-5 * v), 6) + 0.0 AS value
 FROM v LEFT JOIN g USING (kind, idx, pos)""",
+    "roundtrip_buckets": f"""WITH {LABELLED}
+SELECT test.user_id, test.item_id, count(*) AS n_train, sum(train.rating) AS sum_train
+FROM test JOIN train ON test.user_id = train.user_id GROUP BY test.user_id, test.item_id""",
+    "prepared_split": f"""WITH {RATINGS},
+kept AS (
+  SELECT * FROM r
+  WHERE user_id IN (SELECT user_id FROM r GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 6000)
+    AND item_id IN (SELECT item_id FROM r GROUP BY item_id ORDER BY count(*) DESC, item_id LIMIT 2000)
+)
+SELECT run, user_id, item_id, CAST(dense_rank() OVER (PARTITION BY run ORDER BY user_id) - 1 AS INTEGER) AS user_idx,
+       CAST(dense_rank() OVER (PARTITION BY run ORDER BY item_id) - 1 AS INTEGER) AS item_idx, rating,
+       CASE WHEN row_number() OVER (PARTITION BY run ORDER BY md5('42:' || user_id || ':' || item_id), user_id, item_id)
+                 <= ceil(0.2 * count(*) OVER (PARTITION BY run)) THEN 'test' ELSE 'train' END AS split
+FROM kept, (SELECT unnest(['loaded', 'again']) AS run)""",
     "deep_sgd_step": _network_step(False),
     "residual_sgd_step": _network_step(True),
     "autorec_sgd_step": _CODER_STEP,
@@ -312,3 +329,4 @@ FROM (SELECT DISTINCT user_id FROM train), (SELECT unnest([0, 1]) AS epoch)""",
     "roundtrip_split": f"WITH {LABELLED} SELECT user_id, item_id, rating, split FROM s",
     "roundtrip_index": f"WITH {RATINGS} SELECT user_id, item_id, rating, rating AS rating_by_item FROM r",
 }
+ORACLE["mf_train_step"] = ORACLE["mf_sgd_step"]

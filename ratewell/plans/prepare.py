@@ -51,7 +51,7 @@ def prepare(
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
     raw = read_ratings_dat(spark, source) if isinstance(source, str) else source
-    indexed = index_active(normalise(raw), max_users, max_items)
+    indexed = cut_lineage(index_active(normalise(raw), max_users, max_items))  # the split reads it several times
     if exact:
         labelled = split_exact(indexed, test, seed)
     else:
@@ -60,4 +60,5 @@ def prepare(
     if save and path:
         save_split(train, held_out, path)
         return load_split(spark, path)
-    return train, held_out
+    labelled = cut_lineage(labelled)  # or both parts would rank the edge of the split again
+    return part_of(labelled, "train"), part_of(labelled, "test")

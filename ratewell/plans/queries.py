@@ -9,15 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewell.functions import batch_mean_rmse, masked_rmse, rmse
-from ratewell.operators import full_batch, scoring, synchronous
+from ratewell.operators import full_batch, scoring, strata, synchronous
 from ratewell.operators import prepare as prep
 from ratewell.operators.als import attach_predictions, fit_als, predict_als
 from ratewell.operators.gradients import PairNet, RowCoder
 from ratewell.operators.neighbors import KnnModel, entity_stats
 from ratewell.operators.numbering import batch_no, dense_index, n_distinct
-from ratewell.operators.training import AutoRec, DeepMF, MatrixFactorization, ResidualMF
+from ratewell.operators.training import AutoRec, DeepMF, Descent, MatrixFactorization, ResidualMF, row_values
 from ratewell.plans.evaluate import evaluate
-from ratewell.plans.prepare import normalise
+from ratewell.plans.prepare import normalise, prepare
 from ratewell.session import cut_lineage, shared_dir
 from ratewell.sources import ratings as io
 from ratewell.sources.fixtures import ratings_planted, ratings_view
@@ -193,6 +193,19 @@ def q_als_optimality(spark, sf_dir):
     return sums.select(USER, (F.round(norm["slope"] / norm["right"], 3) + F.lit(0.0)).alias("residual"))
 
 
+def q_als_products(spark, sf_dir):
+    """Predictions of held-out pairs less the product of the two factor rows the model returned."""
+    train, test = _planted(spark, sf_dir)
+    model = fit_als(train, user=USER, item=ITEM)
+    scored = cut_lineage(predict_als(model, test))
+    users = model.userFactors.select(F.col("id").alias(USER), F.col("features").alias("x"))
+    items = model.itemFactors.select(F.col("id").alias(ITEM), F.col("features").alias("y"))
+    product = sum((F.col("x")[f].cast("double") * F.col("y")[f] for f in range(K)), F.lit(0.0))
+    gap = F.round(F.col("prediction") - product, 4) + F.lit(0.0)
+    met = scored.join(users, USER).join(items, ITEM)
+    return met.select(F.col(USER).cast("long").alias(USER), F.col(ITEM).cast("long").alias(ITEM), gap.alias("gap"))
+
+
 def q_attached(spark, sf_dir):
     """Ratings with a formula prediction; every seventh pair has none and is left out."""
     labelled = _labelled(spark, sf_dir)
@@ -302,6 +315,24 @@ def q_mf_sgd_step(spark, sf_dir):
     )
 
 
+def q_mf_train_step(spark, sf_dir):
+    """The training loop itself: formula start, one stratum, one epoch, one batch of all ratings."""
+    labelled = _stored(spark, sf_dir)
+    mean = prep.global_mean(prep.part_of(labelled, "train"))
+    cells = prep.center(labelled, mean).select(
+        F.col(USER).alias("user"), F.col(ITEM).alias("item"), F.col("rating").alias("y"), (F.col("split") == "test").alias("held_out")
+    )
+    start = None
+    for kind, id_col, table in zip(("user", "item"), (USER, ITEM), _formula_tables(labelled)):
+        one = table.select(F.lit(kind).alias("kind"), F.col(id_col).cast("long").alias("idx"), F.concat("factors", F.array("bias")).alias("values"))
+        start = one if start is None else start.unionByName(one)
+    how = Descent(epochs=1, batch=cells.where(~F.col("held_out")).count(), lr=1.0, decay=1e-5, strata=1)
+    model = PairNet(K, 0, True)
+    state, _ = strata.descend(cells, model, how, "one step", start)
+    tables = [row_values(state, kind, model.row_width).select(F.lit(kind).alias("kind"), "idx", "values") for kind in ("user", "item")]
+    return _positions(tables[0].unionByName(tables[1]))
+
+
 def _positions(state: DataFrame) -> DataFrame:
     return state.select("kind", "idx", F.posexplode("values").alias("pos", "value")).select("kind", "idx", "pos", _r6("value"))
 
@@ -407,6 +438,37 @@ def q_roundtrip_index(spark, sf_dir):
     return by_user.join(by_item.withColumnRenamed("rating", "rating_by_item"), [USER, ITEM])
 
 
+def q_prepared_split(spark, sf_dir):
+    """The whole preparation, twice: loaded from the store, and made again where half of the store is gone."""
+    raw = cut_lineage(_as_raw(ratings_view(spark, sf_dir)))
+    whole, half = _fresh(spark, "prepared"), _fresh(spark, "half")
+    train, _ = prepare(spark, raw, whole)
+    train.write.parquet(f"{half}/split=train")
+    runs = [("loaded", prepare(spark, raw.limit(0), whole)), ("again", prepare(spark, raw, half))]
+    parts = [
+        part.select(F.lit(run).alias("run"), F.col(USER).cast("long"), F.col(ITEM).cast("long"), "user_idx", "item_idx", "rating", F.lit(split).alias("split"))
+        for run, pair in runs
+        for split, part in zip(("train", "test"), pair)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def bucketed_lookup(spark: SparkSession, labelled: DataFrame) -> DataFrame:
+    """How many ratings each test pair's user has in the train index; both are stored in buckets by user."""
+    tables = {}
+    for split in ("train", "test"):
+        name, path = f"{split}_{uuid.uuid4().hex}", _fresh(spark, split)
+        io.save_bucketed(prep.part_of(labelled, split), path, name, USER, ITEM)
+        spark.sql(f"DROP TABLE {name}")  # its files stay, as for another session
+        tables[split] = io.load_bucketed(spark, path, name, USER, ITEM)
+    train = tables["train"].select(USER, F.col("rating").alias("_r"))
+    return tables["test"].join(train, USER).groupBy(USER, ITEM).agg(F.count("_r").alias("n_train"), F.sum("_r").alias("sum_train"))
+
+
+def q_roundtrip_buckets(spark, sf_dir):
+    return bucketed_lookup(spark, _stored(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratings_view": ratings_view,
     "activity_users": q_activity_users,
@@ -432,6 +494,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_knn_mse": _knn_mse(USER),
     "item_knn_mse": _knn_mse(ITEM),
     "als_predict": q_als_predict,
+    "als_products": q_als_products,
     "als_optimality": q_als_optimality,
     "attached": q_attached,
     "als_mse": q_als_mse,
@@ -446,6 +509,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "masked_rmse_zero": q_masked_rmse_zero,
     "metrics_roundtrip": q_metrics_roundtrip,
     "mf_sgd_step": q_mf_sgd_step,
+    "mf_train_step": q_mf_train_step,
     "deep_sgd_step": _network_step(PairNet(K, H, False)),
     "residual_sgd_step": _network_step(PairNet(K, H, True)),
     "autorec_sgd_step": q_autorec_sgd_step,
@@ -458,4 +522,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "roundtrip_csv": q_roundtrip_csv,
     "roundtrip_split": q_roundtrip_split,
     "roundtrip_index": q_roundtrip_index,
+    "roundtrip_buckets": q_roundtrip_buckets,
+    "prepared_split": q_prepared_split,
 }

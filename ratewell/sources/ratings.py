@@ -66,5 +66,25 @@ def load_interactions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     return spark.read.parquet(f"{path}/by_user"), spark.read.parquet(f"{path}/by_item")
 
 
+def save_bucketed(df: DataFrame, path: str, table: str, key: str, order: str, buckets: int = 32) -> None:
+    """Store interactions at ``path`` in ``buckets`` by ``key``, each sorted by ``key`` and ``order``.
+
+    Tables with the same key and number of buckets join, and group by the key, without a shuffle.
+    """
+    placed = df.repartition(buckets, key)  # one file per bucket
+    placed.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key, order).saveAsTable(table)
+
+
+def load_bucketed(spark: SparkSession, path: str, table: str, key: str, order: str, buckets: int = 32) -> DataFrame:
+    """The table of :func:`save_bucketed`; a session that doesn't know it yet learns it from its files."""
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`, `{order}`) "
+            f"INTO {int(buckets)} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(table)
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("append").parquet(path)

@@ -187,3 +187,27 @@ def test_metric_history_is_stored(spark, tmp_path):
     write_metrics(df, str(tmp_path / "m"))
     write_metrics(df, str(tmp_path / "m"))
     assert spark.read.parquet(str(tmp_path / "m")).count() == 2
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, sf_dir):
+    from ratewell.plans.queries import _stored, bucketed_lookup
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = bucketed_lookup(spark, _stored(spark, sf_dir))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SelectedBucketsCount" in plan and "Join" in plan
+        assert found.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_activity_filter_reads_its_input_once(spark, sf_dir):
+    from ratewell.operators.prepare import filter_active
+    from ratewell.sources import ratings_view
+
+    kept = filter_active(ratings_view(spark, sf_dir), 50, 5)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" not in plan and plan.count("LogicalRDD") == 3
+    assert kept.select("user_id").distinct().count() <= 50 and kept.select("item_id").distinct().count() == 5
