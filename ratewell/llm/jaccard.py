@@ -24,6 +24,7 @@ COUNTS = "token bigint, n bigint"
 ENTRIES = "bucket int, token binary, sid binary, n binary, pos binary, rare binary"
 LISTS = "bucket int, token binary, sid binary, n binary, pos binary, rare binary, pairs binary"
 PAIRS = "a bigint, b bigint, na bigint, nb bigint, shared bigint"
+BASES = "a bigint, b bigint, lists bigint, need bigint"
 COLUMNS = {"token": np.uint64, "sid": np.int64, "n": np.uint32, "pos": np.uint32, "rare": np.uint32}
 
 
@@ -200,45 +201,60 @@ def _unpack_sids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _across(percent: int):
-    """Pairs of one bucket's lists whose sets are in different components so far."""
+    """Pairs of bases whose sets meet in one bucket's lists and are in different components so far.
+
+    Sets with one base, size and position in a list are one entry here, whatever their number. A pair
+    of bases has one row: in how many lists it meets, which is no less than what any two of its sets
+    share, and the least number of shared prefix tokens that one of its meetings would need.
+    """
 
     def run(table: pa.Table, labels: pa.Table) -> pa.Table:
         e = _entries(table)
-        label = e["sid"].copy()
+        label, base = e["sid"].copy(), e["sid"].copy()
         if labels.num_rows:
-            sids, roots = labels["sid"].to_numpy(), labels["root"].to_numpy()
+            sids = labels["sid"].to_numpy()
             order = np.argsort(sids)
             at = np.minimum(np.searchsorted(sids[order], e["sid"]), len(sids) - 1)
             hit = sids[order][at] == e["sid"]
-            label[hit] = roots[order][at[hit]]
+            label[hit] = labels["root"].to_numpy()[order][at[hit]]
+            base[hit] = labels["base"].to_numpy()[order][at[hit]]
         n, pos = e["n"].astype(np.int64), e["pos"].astype(np.int64)
-        order = np.lexsort((pos, n, label, e["token"]))
-        token, sid, label, n, pos = e["token"][order], e["sid"][order], label[order], n[order], pos[order]
+        order = np.lexsort((base, pos, n, label, e["token"]))
+        columns = [c[order] for c in (e["token"], label, n, pos, base)]
+        new = np.append(True, np.any([c[1:] != c[:-1] for c in columns], axis=0)) if len(order) else np.zeros(0, bool)
+        token, label, n, pos, base = (c[new] for c in columns)
         bounds = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
-        found = [np.zeros((0, 5), np.int64)]
-        left, right, held = [], [], 0
+        found, held = [np.zeros((0, 4), np.int64)], 0
         for a, b in zip(bounds, [*bounds[1:], len(token)]):
             if label[a] == label[b - 1]:
                 continue  # one component: the list has nothing to add
-            for i, j in _meeting(label[a:b], n[a:b], pos[a:b], percent):
-                left.append(i + a)
-                right.append(j + a)
-                held += len(i)
+            met = [_of_bases(base[i + a], base[j + a], n[i + a], n[j + a], percent) for i, j in _meeting(label[a:b], n[a:b], pos[a:b], percent)]
+            if met:
+                once = _added(np.concatenate(met))
+                once[:, 2] = 1  # one list
+                found.append(once)
+                held += len(once)
             if held > 1 << 20:
-                found = [_merged(found, left, right, sid, n)]
-                left, right, held = [], [], 0
-        pairs = _merged(found, left, right, sid, n)
-        return pa.Table.from_batches([_pair_rows(pairs)])
+                found, held = [_added(np.concatenate(found))], 0
+        rows = _added(np.concatenate(found))
+        return pa.table([pa.array(np.ascontiguousarray(c)) for c in rows.T], ["a", "b", "lists", "need"])
 
     return run
 
 
-def _merged(found: list[np.ndarray], left: list[np.ndarray], right: list[np.ndarray], sid: np.ndarray, n: np.ndarray) -> np.ndarray:
-    i, j = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (left, right))
-    swap = sid[i] > sid[j]
-    i, j = np.where(swap, j, i), np.where(swap, i, j)
-    rows = np.concatenate([*found, np.stack([sid[i], sid[j], n[i], n[j], np.ones(len(i), np.int64)], 1)])
-    return _pairs(rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3], rows[:, 4])
+def _of_bases(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Rows (base, base, 1, prefix tokens that the two sets must share), see :func:`_possible`."""
+    rest = np.maximum(-(-percent * na // 100), -(-percent * nb // 100)) - 1
+    return np.stack([np.minimum(a, b), np.maximum(a, b), np.ones_like(na), least_overlap(na + nb, percent) - rest], 1)
+
+
+def _added(rows: np.ndarray) -> np.ndarray:
+    """One row per pair of bases: lists added up, least need."""
+    if not len(rows):
+        return rows
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    first = np.flatnonzero(np.append(True, np.any(rows[1:, :2] != rows[:-1, :2], axis=1)))
+    return np.column_stack([rows[first, :2], np.add.reduceat(rows[:, 2], first), np.minimum.reduceat(rows[:, 3], first)])
 
 
 def _meeting(label: np.ndarray, n: np.ndarray, pos: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -340,6 +356,40 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.where(F.col("ra") != F.col("rb"))
 
 
+def _members_of(two: DataFrame, sets: DataFrame, bases: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets that may be linked, derived from the counted overlap of their bases.
+
+    A set with ``e`` tokens outside its base and ``o`` inside shares at most ``overlap + e + f`` tokens with
+    a set of the other base that has ``f`` and ``g``. That reaches the least overlap only if ``overlap
+    * (100 + percent) + (100 e - percent o) + (100 f - percent g) >= 0``: a sum of one number per side, so
+    each side is thinned by the other side's best before the two meet.
+    """
+    own = sets.select("sid", "n").join(bases.select("sid", "base", "n_base", F.col("overlap").alias("inside")), "sid", "left")
+    own = own.withColumns({"base": F.coalesce("base", "sid"), "n_base": F.coalesce("n_base", "n"), "inside": F.coalesce("inside", "n")})
+    own = own.withColumns({"gain": 100 * (F.col("n") - F.col("inside")) - percent * F.col("inside"), "lost": F.col("n_base") - F.col("inside")})
+    best = own.groupBy("base").agg(F.max("gain").alias("gain"))
+    met = two.select("a", "b", F.col("overlap").alias("middle"), (F.col("overlap") * (100 + percent)).alias("reach"))
+    for side in ("a", "b"):
+        met = met.join(best.select(F.col("base").alias(side), F.col("gain").alias(f"best_{side}")), side)
+    met = met.where(F.col("reach") + F.col("best_a") + F.col("best_b") >= 0)
+    for side, other in (("a", F.col("best_b")), ("b", F.col("gain_a"))):
+        mine = own.select(*(F.col(c).alias(f"{c}_{side}") for c in ("base", "sid", "n", "inside", "gain", "lost")))
+        met = met.join(mine, (F.col(side) == F.col(f"base_{side}")) & (F.col("reach") + F.col(f"gain_{side}") + other >= 0))
+    extra = F.col("n_a") - F.col("inside_a") + F.col("n_b") - F.col("inside_b")
+    lost = F.col("lost_a") + F.col("lost_b")
+    flip = F.col("sid_a") > F.col("sid_b")
+
+    def ordered(c: str, first: str, second: str) -> Column:
+        return F.when(flip, F.col(f"{c}_{second}")).otherwise(F.col(f"{c}_{first}"))
+
+    pairs = met.select(
+        ordered("sid", "a", "b").alias("a"), ordered("sid", "b", "a").alias("b"), ordered("n", "a", "b").alias("na"), ordered("n", "b", "a").alias("nb"),
+        (F.col("middle") + extra).alias("most"), (F.col("middle") - lost).alias("least"),
+    )
+    pairs = pairs.where(_linked(percent, F.least("most", "na", "nb")))
+    return pairs.select("a", "b", "na", "nb", (_linked(percent, "least") & (F.col("least") >= 0)).alias("sure"))
+
+
 def link_sets(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Near-duplicate classes of all documents by exact Jaccard similarity of their shingle sets.
 
@@ -348,12 +398,12 @@ def link_sets(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
        The order only decides the cost; tokens that many sets hold are put last.
     3. Each index list pairs its sets with its first set. The verified pairs give components and,
        for each set, a base: a very similar set and the overlap with it.
-    4. The lists are read again for pairs across components, skipping blocks of entries whose
-       sizes, positions or labels allow none. Lists inside one component, such as those of a large
-       group of near copies, add nothing.
+    4. The lists are read again for pairs of bases whose sets meet across components, skipping blocks
+       of entries whose sizes, positions or labels allow none. Lists inside one component, such as
+       those of a large group of near copies, add nothing, and copies of one base count once.
     5. Overlaps of the bases are counted once. With the known differences to the bases they bound
-       the overlap of every pair that belongs to them, and most pairs are decided without being
-       looked at. The others are verified, first one for each two components, then the rest.
+       the overlap of every two sets that belong to them; only sets whose bound allows a link are
+       paired at all. The undecided are verified, first one for each two components, then the rest.
 
     No pair is given up: each is excluded by a bound, known to be in one component, or counted.
 
@@ -386,29 +436,23 @@ def link_sets(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     bases = stored(both.join(degree, "a").groupBy(F.col("b").alias("sid")).agg(best.alias("x")).select("sid", "x.*"), "bases")
 
     told = lists.select("bucket", "sid").mapInArrow(_unpack_sids, "bucket int, sid bigint")
-    told = told.join(roots.select(F.col("node").alias("sid"), "root"), "sid").select("bucket", "sid", "root")
-    walked = lists.drop("pairs").groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(_across(percent), PAIRS)
-    open_ = walked.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).where(_possible(percent)).drop("shared")
-    open_ = stored(open_, "open")
-    if not open_.isEmpty():
-        based = open_
+    own = bases.select("sid", "base").join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left")
+    told = told.join(own.select("sid", F.coalesce("root", "sid").alias("root"), "base"), "sid").select("bucket", "sid", "root", "base")
+    walked = lists.drop("pairs").groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(_across(percent), BASES)
+    met = walked.groupBy("a", "b").agg(F.sum("lists").alias("lists"), F.min("need").alias("need"))
+    met = stored(met.where(F.col("lists") >= F.col("need")).select("a", "b"), "open")
+    links = _edges(known)
+    if not met.isEmpty():
+        size_of = sets.select("sid", "n")
+        two = verify(met)
         for side in ("a", "b"):
-            own = bases.select(F.col("sid").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("base", "n_base", "overlap")))
-            based = based.join(own, side, "left")
-            for c, other in (("base", side), ("n_base", f"n{side}"), ("overlap", f"n{side}")):
-                based = based.withColumn(f"{c}_{side}", F.coalesce(f"{c}_{side}", other))
-        based = stored(based, "based")
-        two = based.select(F.least("base_a", "base_b").alias("a"), F.greatest("base_a", "base_b").alias("b")).distinct()
-        two = verify(two).withColumnRenamed("overlap", "middle")
-        two = two.select(F.col("a").alias("low"), F.col("b").alias("high"), "middle")
-        bound = based.withColumns({"low": F.least("base_a", "base_b"), "high": F.greatest("base_a", "base_b")}).join(two, ["low", "high"])
-        extra = F.col("na") - F.col("overlap_a") + F.col("nb") - F.col("overlap_b")
-        lost = F.col("n_base_a") - F.col("overlap_a") + F.col("n_base_b") - F.col("overlap_b")
-        bound = bound.where(_linked(percent, F.least(F.col("middle") + extra, "na", "nb")))
-        sure = _linked(percent, F.col("middle") - lost) & (F.col("middle") >= lost)
-        bound = stored(bound.select("a", "b", "na", "nb", sure.alias("sure")), "bounds")
-        roots = components(_edges(known).unionByName(_edges(bound.where("sure"))))
-        links = _edges(known).unionByName(_edges(bound.where("sure")))
+            two = two.join(size_of.select(F.col("sid").alias(side), F.col("n").alias(f"n{side}")), side)
+        two = stored(two, "two")
+        links = links.unionByName(_edges(two.where(_linked(percent))))
+        roots = components(links)
+        bound = stored(_members_of(_apart(two, roots), sets, bases, percent), "bounds")
+        links = links.unionByName(_edges(bound.where("sure")))
+        roots = components(links)
         unsure = _apart(bound.where(~F.col("sure")).drop("sure"), roots)
         one = unsure.groupBy("ra", "rb").agg(F.min(F.struct("a", "b", "na", "nb")).alias("x")).select("x.*")
         for step in (one, None):
