@@ -1,6 +1,7 @@
 """Near-duplicate classes, contamination, sharding and search against plain Python."""
 
 import itertools
+import random
 import zlib
 
 import numpy as np
@@ -179,3 +180,39 @@ def test_stored_matches_hold_no_index(spark, docs):
     plan = got._jdf.queryExecution().logical().toString()
     assert "Union" in plan and "MapInArrow" not in plan  # each closure would keep its index on the driver
     assert sorted(map(tuple, got.collect()), key=str) == wanted and wanted
+
+
+def test_groups_of_near_copies_and_texts_just_beside_them(spark):
+    """Copies of two bases, chains between them and texts on both sides of the limit, against all pairs."""
+    rng = random.Random(17)
+    texts = []
+    for base in range(3):
+        words = [f"w{base}x{k}" for k in range(120)]
+        if base == 2:  # shares most of the first base, a little too little
+            words = [f"w0x{k}" for k in range(107)] + words[107:]
+        for changes in [0, 0, *[1] * 12, *[2] * 8, *[3] * 4, *[4] * 4, *[5] * 4]:
+            copy = list(words)
+            for at in rng.sample(range(120), changes):
+                copy[at] = f"new{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+        for cut in range(92, 120, 2):
+            texts.append(" ".join(words[:cut]))
+            texts.append(" ".join(words[120 - cut :] + [f"tail{base}{cut}{k}" for k in range(4)]))
+    rng.shuffle(texts)
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                low, high = sorted((find(i), find(j)))
+                root[high] = low
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in link_sets(docs).collect()}
+    assert got == {i: (len(sets[i]), find(i)) for i in range(len(texts))}
+    assert 1 < len(set(map(find, root))) < len(texts)
