@@ -17,6 +17,7 @@ SHARD_ROWS = 8192
 LEAF_ROWS = 64
 QUERY_ROWS = 512
 EXACT = float(1 << 53)
+LONG = np.iinfo(np.int64)
 
 BLOB = "dim int, part int, blob binary"
 HITS = "query_row bigint, query_id bigint, vec_id bigint, score bigint"
@@ -73,10 +74,27 @@ def _block(table: pa.Table) -> pa.Table:
 
 
 def _product(queries: np.ndarray, vectors: np.ndarray, size: float) -> np.ndarray:
-    """Inner products; whole numbers as doubles while they are exact, as Python integers beyond."""
+    """Inner products; whole numbers as doubles while they are exact, as Python integers beyond.
+
+    Products past the range of a long are held at its ends.
+    """
     if size < EXACT:
         return queries @ vectors.T
-    return queries.astype(object) @ vectors.astype(object).T
+    exact = np.frompyfunc(int, 1, 1)
+    product = exact(queries) @ exact(vectors).T
+    return np.maximum(np.minimum(product, LONG.max), LONG.min)
+
+
+def _below(score: float) -> float:
+    """The score as a bound: a double that is no larger, since doubles past 2**53 may round up."""
+    return score if abs(score) < EXACT else math.nextafter(score, -math.inf)
+
+
+def _ranked(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` best scores, ties to the smaller id."""
+    if scores.dtype != object:
+        return np.lexsort((ids, -scores))[:k]
+    return np.array(sorted(range(len(scores)), key=lambda n: (-scores[n], ids[n]))[:k], dtype=np.int64)
 
 
 def search(tree, queries, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -87,7 +105,7 @@ def search(tree, queries, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
     the k-th score rises with what they hold.
     """
     vectors, ids, own = tree["vectors"], tree["ids"], tree["rows"]
-    q, kth = queries["vectors"], queries["kth"].astype(np.float64)
+    q, kth = queries["vectors"], np.array([_below(float(x)) for x in queries["kth"]])
     size = float(np.abs(q).max(initial=0) * np.abs(vectors).max(initial=0) * max(1, vectors.shape[1]))
     up, down = np.maximum(q, 0), np.minimum(q, 0)
     nodes = tree["nodes"]
@@ -112,10 +130,10 @@ def search(tree, queries, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
             fits = (got >= limit) & (own[spans] != queries["rows"][number])
             at, scores = np.concatenate([at, spans[fits]]), np.concatenate([scores, got[fits]])
             if len(at) > k:
-                best = np.lexsort((ids[at], -scores))[:k]
+                best = _ranked(scores, ids[at], k)
                 at, scores = at[best], scores[best]
             if len(at) >= k:
-                limit = max(limit, float(scores.min()))
+                limit = max(limit, _below(float(scores.min())))
             mine = mine[bounds[number, mine] >= limit]
             step *= 2
         yield number, ids[at], scores
@@ -164,7 +182,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, shard_rows: int = S
     there are passed to the search of the others and close most of their boxes.
 
     Returns ``query_id, rank, vec_id, score``; ties go to the smaller ``vec_id``. Vectors that are
-    null or hold a null take no part, vectors of different lengths don't meet, rows of equal
+    null or hold a null take no part, scores past the range of a long count as its ends (:func:`scaled`
+    holds components there, too), vectors of different lengths don't meet, rows of equal
     ``vec_id`` are rows of their own, and a null ``vec_id`` takes no part.
     """
     plain = vectors.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & ~F.exists("vector", F.isnull))

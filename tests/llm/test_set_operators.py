@@ -216,3 +216,18 @@ def test_groups_of_near_copies_and_texts_just_beside_them(spark):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in link_sets(docs).collect()}
     assert got == {i: (len(sets[i]), find(i)) for i in range(len(texts))}
     assert 1 < len(set(map(find, root))) < len(texts)
+
+
+def test_search_with_scores_past_a_long(spark):
+    """Components of 1e10 and more: exact up to the ends of a long, held there beyond."""
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.normal(size=6) * 10.0 ** rng.choice([1, 8, 10])).tolist()) for i in range(120)] + [(200, [1e300] * 6), (201, [-1e300] * 6)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").select("vec_id", scaled().alias("vector")).cache()
+    exact = {r["vec_id"]: [int(x) for x in r["vector"]] for r in vectors.collect()}
+    got = {}
+    for r in top_k(vectors, F.col("vec_id") % 20 == 0, 5, shard_rows=40).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    low, high = -(2**63), 2**63 - 1
+    for q in (i for i in exact if i % 20 == 0):
+        scores = [(-min(max(sum(a * b for a, b in zip(exact[q], v)), low), high), i) for i, v in exact.items() if i != q]
+        assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:5])]
