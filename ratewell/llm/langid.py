@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewell.llm.kernels import flat, is_blank, slices
+from ratewell.llm.kernels import flat, slices
 
 UNKNOWN = "und"
 PIECE = 1 << 20
@@ -52,7 +52,11 @@ def gram_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     A gram is three 21-bit signs: 0 none, 1 word edge, otherwise 2 plus the letter. Words are padded
     with an edge on both sides; a gram holds a letter and has edges only at its ends.
     """
-    signs, row = _marks(data, offsets)
+    return _grams(*_marks(data, offsets))
+
+
+def _grams(signs: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`gram_counts` of rows given as signs."""
     alphabet = np.flatnonzero(np.bincount(signs)).astype(np.uint64)
     small = np.zeros(int(signs.max()) + 1 if len(signs) else 2, np.uint64)
     small[alphabet.astype(np.int64)] = np.arange(1, len(alphabet) + 1)
@@ -90,24 +94,26 @@ def _merged(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 
 
 def _by_piece(data: np.ndarray, offsets: np.ndarray):
-    """:func:`gram_counts` of row ranges; a very long text is counted in pieces cut at blanks."""
+    """:func:`gram_counts` of row ranges. A very long text is counted in pieces: each piece sees the two
+    signs before it, whose own grams are taken off again, so that a cut may fall anywhere."""
     for i, j in slices(offsets, PIECE):
         low, high = int(offsets[i]), int(offsets[j])
-        if high - low <= 2 * PIECE:
+        if j > i + 1 or high - low <= 2 * PIECE:
             yield i, j, *gram_counts(data[low:high], offsets[i : j + 1] - low)
             continue
-        grams, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        grams, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        lead = np.ones(1, np.uint32)  # the edge before the text
         while low < high:
             end = min(high, low + PIECE)
-            blanks = np.flatnonzero(is_blank(data[low:end]))
-            if end < high and len(blanks):
-                end = low + int(blanks[-1]) + 1
             while end < high and data[end] & 0xC0 == 0x80:
                 end += 1
-            _, gram, count = gram_counts(data[low:end], np.array([0, end - low]))
-            grams, counts = map(list, zip(_merged([*grams, gram], [*counts, count])))
-            low = end
-        yield i, j, np.zeros(len(grams[0]), np.int64), grams[0], counts[0]
+            signs = np.concatenate([lead, _marks(data[low:end], np.array([0, end - low]))[0][1 : None if end == high else -1]])
+            _, more, n = _grams(signs, np.zeros(len(signs), np.int64))
+            _, less, m = _grams(lead, np.zeros(len(lead), np.int64))
+            grams, counts = _merged([grams, more, less], [counts, n, -m])
+            grams, counts = grams[counts > 0], counts[counts > 0]
+            low, lead = end, signs[-2:]
+        yield i, j, np.zeros(len(grams), np.int64), grams, counts
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

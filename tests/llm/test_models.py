@@ -4,12 +4,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_set_operators import plain_classes, shingle_set
 from test_text_operators import plain_lines, plain_words
 
 import corpus_pipeline
+from ratewell.llm import langid, mixing
 from ratewell.llm.langid import fit_profiles, gram_counts, identify, keep_identified
 from ratewell.llm.mixing import Code, score_texts
 from ratewell.llm.packing import pack
@@ -40,6 +42,47 @@ def test_grams_against_plain_counts():
         assert got == dict(plain_grams(text))
 
 
+@pytest.mark.parametrize("piece", [1, 5, 64])
+def test_cuts_of_a_long_text_change_no_gram(monkeypatch, piece):
+    texts = ["".join(chr(0x4E00 + k * 7 % 90) for k in range(400)), "Ab cd, " * 60 + "é" * 50, "x", "", "no-letters 123 " * 20, "z" * 300]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+
+    def counted():
+        return {(i + int(r), int(g)): int(c) for i, _, *found in langid._by_piece(data, offsets) for r, g, c in zip(*found)}
+
+    whole = counted()
+    monkeypatch.setattr(langid, "PIECE", piece)
+    assert counted() == whole
+
+
+def plain_distance(text, profile, size=300):
+    """Out-of-place distance over the largest possible one, from the definition."""
+    grams = plain_grams(text)
+
+    def key(gram):
+        code = 0
+        for c in gram:
+            code = code << 21 | (1 if c == "_" else ord(c) + 2)
+        return code << 21 * (3 - len(gram))
+
+    own = sorted(((-n, key(g)) for g, n in grams.items()))[:size]
+    far = sum(abs(profile[g] - k) if g in profile else size for k, (_, g) in enumerate(own))
+    return far / (len(own) * size)
+
+
+def test_distances_and_winners_against_plain_ranking(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    learn = [r for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.lang is not None]
+    rank = {}
+    for r in fit_profiles(spark.createDataFrame(learn, docs.schema)).collect():
+        rank.setdefault(r.lang, {})[r.gram] = r.rank
+    for r in identify(docs).join(docs.select("doc_id", "text"), "doc_id").collect():
+        far = {lang: plain_distance(r.text, grams) for lang, grams in rank.items()}
+        assert r.score == pytest.approx(1 - min(far.values()), abs=1e-9)
+        assert far[r.lang_pred] == pytest.approx(min(far.values()), abs=1e-12)
+
+
 def test_held_out_accuracy(spark):
     rows = op3_language_id(spark, "/root/testdata/sf0.01")
     truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
@@ -75,7 +118,7 @@ def test_code_is_a_prefix_code():
 
 
 def test_scores_of_odd_rows(docs, no_docs):
-    got = score_texts(docs, F.crc32(F.col("doc_id").cast("string")) % 10 == 0, slot_bits=12).toPandas()
+    got = score_texts(docs, F.crc32(F.col("doc_id").cast("string")) % 10 == 0).toPandas()
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     learned = Counter()
     for i, t in rows:
@@ -199,10 +242,6 @@ def test_run_is_the_stages_in_order(spark, stages):
 
 
 def test_context_counts_are_exact_at_any_size():
-    import pyarrow as pa
-
-    from ratewell.llm import mixing
-
     rng = np.random.default_rng(3)
     texts = [" ".join(f"w{int(w)}" for w in rng.zipf(1.3, 300) % 500) for _ in range(12)]
     held = [k % 4 == 0 for k in range(12)]
@@ -235,8 +274,6 @@ def test_context_counts_are_exact_at_any_size():
 
 
 def test_contexts_and_stride_are_whole():
-    from ratewell.llm import mixing
-
     hashes = np.array([7, 9, 7, 9, 5], np.uint64)
     got = mixing.Tokens(hashes, np.array([0, 4, 5]), np.zeros(5, np.int64), np.zeros(5, np.int64))
     units, _, _ = mixing._units(got, Code(np.array([5, 7, 9], np.uint64), np.array([1, 2, 3]), 0))
@@ -247,8 +284,6 @@ def test_contexts_and_stride_are_whole():
 
 
 def test_first_weights_use_every_training_document(spark, monkeypatch):
-    from ratewell.llm import mixing
-
     seen = {}
     real = mixing._fit
 
@@ -261,3 +296,66 @@ def test_first_weights_use_every_training_document(spark, monkeypatch):
     texts = [(k, f"same words {k % 3}") for k in range(12_000)]
     score_texts(spark.createDataFrame(texts, "doc_id long, text string"), F.col("doc_id") % 10 == 0)
     assert seen["rows"] == 10_800 and seen["weights"].shape == (32, 4)
+
+
+def plain_mixer(bits, weights):
+    """Log2 probability of one text's bits, bit by bit in the order of the text."""
+    order = np.argsort(bits.place)
+    w = weights.astype(float).copy()
+    centre = 1 / (1 + np.exp(-(np.arange(mixing.LEVELS) - mixing.LEVELS // 2) / 2))
+    ones, every = np.tile(64 * centre, (mixing.GATES, 1)), np.full((mixing.GATES, mixing.LEVELS), 64.0)
+    total, waiting = 0.0, []
+    for number, k in enumerate(order):
+        if number % 1024 == 0 and number:
+            slope, seen = np.zeros_like(w), np.zeros(mixing.GATES)
+            for gate, x, error, level, bit in waiting:
+                slope[gate] += error * x
+                seen[gate] += 1
+                ones[gate, level] += bit
+                every[gate, level] += 1
+            w += 0.5 * slope / (seen[:, None] + 64)
+            waiting = []
+        says = [int(s[k]) for s in bits.says]
+        x = np.array([(s >> 2) / 256 for s in says])
+        gate = int(bits.spelled[k]) * 16 + (says[1] & 3) * 4 + (says[2] & 3)
+        odds = min(16, max(-16, float(x @ w[gate])))
+        p = 1 / (1 + np.exp(-odds))
+        level = min(mixing.LEVELS - 1, max(0, int(odds * 2 + mixing.LEVELS / 2)))
+        final = min(1 - 1e-6, max(1e-6, (p + ones[gate, level] / every[gate, level]) / 2))
+        bit = int(bits.bit[k])
+        total += np.log2(final if bit else 1 - final)
+        waiting.append((gate, x, bit - p, level, bit))
+    return total
+
+
+@pytest.mark.parametrize("piece", [60, 700, 5000])
+def test_long_texts_score_alike_in_any_pieces(monkeypatch, piece):
+    rng = np.random.default_rng(4)
+    words = [" ".join(f"w{int(w)}" for w in rng.zipf(1.2, n) % 900) for n in (3, 1500, 40)]
+    t = pa.table({"text": [*words, "", "x" * 900], "held_out": [False] * 5, "block": pa.array([0] * 5, pa.int32())})
+    learned = Counter(mixing.tokens(*mixing.flat(t["text"])).hashes.tolist())
+    best = sorted(learned, key=lambda h: (-learned[h], h))[:300]
+    code = Code(np.array(best, np.uint64), np.array([learned[h] for h in best]), sum(learned.values()) - sum(learned[h] for h in best))
+    weights = (mixing._start() * 0.9).astype(np.float32)
+
+    def answers():
+        sent = mixing._send_paths(code, 2)(t).to_pandas()
+        parts = [mixing._total_paths(pa.Table.from_pandas(g.reset_index(drop=True))) for _, g in sent.groupby(["context", "bucket"])]
+        return pa.concat_tables(parts)
+
+    def scores():
+        out, state, before = np.zeros(5), None, -1
+        for i, j, part in mixing._whole_stages(mixing._bits(t, answers(), code, 0)):
+            if i != before:
+                state = {} if j == i + 1 else None
+            out[i:j] += mixing.mix_online(part, j - i, weights, state)
+            before = i
+        return out
+
+    whole = scores()
+    ((_, _, bits),) = mixing._bits(t, answers(), code, 0)
+    plain = [plain_mixer(mixing._chosen(bits, bits.row == k), weights) for k in range(5)]
+    assert whole == pytest.approx(plain, rel=1e-4)
+    monkeypatch.setattr(mixing, "PIECE", piece)
+    assert len(list(mixing._pieces(*mixing.flat(t["text"]), code))) > 1
+    assert scores() == pytest.approx(whole, rel=1e-6)
