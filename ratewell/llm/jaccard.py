@@ -288,39 +288,66 @@ def _meeting(label: np.ndarray, n: np.ndarray, pos: np.ndarray, percent: int) ->
                 yield a[i], b[j]
 
 
+def _two_sides(batch: pa.RecordBatch, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shingle sets of both texts of every row."""
+    sides = []
+    for c in ("text_a", "text_b"):
+        data, offsets = flat(batch[c])
+        sides.append([s for i, j in slices(offsets) for s in _cut(_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size))])
+    return zip(*sides)
+
+
+def _held(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which tokens of ``x`` does ``y`` hold?"""
+    at = np.minimum(np.searchsorted(y, x), max(0, len(y) - 1))
+    return y[at] == x if len(y) else np.zeros(len(x), bool)
+
+
 def _overlap(size: int):
     """Exact overlap of the shingle sets of two texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = []
-            for c in ("text_a", "text_b"):
-                data, offsets = flat(batch[c])
-                sides.append([s for i, j in slices(offsets) for s in _cut(_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size))])
-            shared = []
-            for x, y in zip(*sides):
-                small, big = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.minimum(np.searchsorted(big, small), max(0, len(big) - 1))
-                shared.append(int((big[at] == small).sum()) if len(big) else 0)
+            shared = [int(_held(*((x, y) if len(x) <= len(y) else (y, x))).sum()) for x, y in _two_sides(batch, size)]
             kept = [c for c in batch.schema.names if c not in ("text_a", "text_b")]
             yield pa.record_batch([*(batch[c] for c in kept), pa.array(shared, pa.int64())], [*kept, "overlap"])
 
     return run
 
 
+def _difference(size: int):
+    """Tokens of the first text's set that the second one's lacks, a row each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            more = [x[~_held(x, y)].view(np.int64) for x, y in _two_sides(batch, size)]
+            row = pa.array(np.repeat(np.arange(len(more)), [len(x) for x in more]))
+            kept = [c for c in batch.schema.names if c not in ("text_a", "text_b")]
+            yield pa.record_batch([*(batch[c].take(row) for c in kept), pa.array(np.concatenate(more or [np.zeros(0, np.int64)]))], [*kept, "token"])
+
+    return run
+
+
 def _cut(sets: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[np.ndarray]:
     values, at, _ = sets
     return [values[a:b] for a, b in zip(at[:-1], at[1:])]
 
 
 class _Verifier:
-    """Reads the texts of the sets that a stage asks for and counts overlaps exactly."""
+    """Reads the texts of the sets that a stage asks for and compares them exactly."""
 
     def __init__(self, docs: DataFrame, sets: DataFrame, size: int) -> None:
         self.docs, self.sets, self.size = docs, sets, size
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """``pairs`` (a, b, ...) with ``overlap``."""
+        return self._compared(pairs, _overlap(self.size), "overlap")
+
+    def differences(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` (a, b, ...) with a row for each ``token`` of a that b lacks."""
+        return self._compared(pairs, _difference(self.size), "token")
+
+    def _compared(self, pairs: DataFrame, how, result: str) -> DataFrame:
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
         keys = wanted.join(self.sets.select("sid", "doc_id", "text_hash"), "sid").withColumnRenamed("doc_id", "_id")
         same = self.docs["doc_id"].eqNullSafe(keys["_id"]) & (self.docs["text_hash"] == keys["text_hash"])
@@ -329,8 +356,8 @@ class _Verifier:
         left = texts.select(F.col("sid").alias("b"), F.col("text").alias("text_b"))
         right = texts.select(F.col("sid").alias("a"), F.col("text").alias("text_a"))
         both = pairs.join(left, "b").join(right, "a").select(*pairs.columns, "text_a", "text_b")
-        schema = ", ".join(f"{c} bigint" for c in (*pairs.columns, "overlap"))
-        return stored(both.mapInArrow(_overlap(self.size), schema), "overlaps")
+        schema = ", ".join(f"{c} bigint" for c in (*pairs.columns, result))
+        return stored(both.mapInArrow(how, schema), result)
 
 
 def _linked(percent: int, overlap: Column | str = "overlap") -> Column:
@@ -356,38 +383,76 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.where(F.col("ra") != F.col("rb"))
 
 
-def _members_of(two: DataFrame, sets: DataFrame, bases: DataFrame, percent: int) -> DataFrame:
+def _members_of(two: DataFrame, sets: DataFrame, bases: DataFrame, percent: int, verify: _Verifier) -> DataFrame:
     """Pairs of sets that may be linked, derived from the counted overlap of their bases.
 
-    A set with ``e`` tokens outside its base and ``o`` inside shares at most ``overlap + e + f`` tokens with
-    a set of the other base that has ``f`` and ``g``. That reaches the least overlap only if ``overlap
-    * (100 + percent) + (100 e - percent o) + (100 f - percent g) >= 0``: a sum of one number per side, so
-    each side is thinned by the other side's best before the two meet.
+    Let ``x`` have the base ``p`` and ``y`` the base ``q``. Their overlap is at most that of ``p`` and ``q``, plus
+    the tokens new in ``x`` (not in ``p``) that ``q`` holds, plus those new in ``y`` that ``p`` holds, plus those
+    new in both. The new tokens are few: a join by token finds the members that have any in the other
+    base, and every other member has none. So of a large group of copies only those meet a text beside
+    it that share a new token with it or are small enough to be linked without.
     """
     own = sets.select("sid", "n").join(bases.select("sid", "base", "n_base", F.col("overlap").alias("inside")), "sid", "left")
     own = own.withColumns({"base": F.coalesce("base", "sid"), "n_base": F.coalesce("n_base", "n"), "inside": F.coalesce("inside", "n")})
-    own = own.withColumns({"gain": 100 * (F.col("n") - F.col("inside")) - percent * F.col("inside"), "lost": F.col("n_base") - F.col("inside")})
-    best = own.groupBy("base").agg(F.max("gain").alias("gain"))
-    met = two.select("a", "b", F.col("overlap").alias("middle"), (F.col("overlap") * (100 + percent)).alias("reach"))
+    own = own.withColumns({"extra": F.col("n") - F.col("inside"), "lost": F.col("n_base") - F.col("inside")})
+    gain = (100 + percent) * F.col("extra") - percent * F.col("n")
+    best = own.groupBy("base").agg(F.max(gain).alias("gain"), F.max("extra").alias("extra"), F.min("n").alias("low"))
+    met = two.select("a", "b", F.col("overlap").alias("middle"))
     for side in ("a", "b"):
-        met = met.join(best.select(F.col("base").alias(side), F.col("gain").alias(f"best_{side}")), side)
-    met = met.where(F.col("reach") + F.col("best_a") + F.col("best_b") >= 0)
-    for side, other in (("a", F.col("best_b")), ("b", F.col("gain_a"))):
-        mine = own.select(*(F.col(c).alias(f"{c}_{side}") for c in ("base", "sid", "n", "inside", "gain", "lost")))
-        met = met.join(mine, (F.col(side) == F.col(f"base_{side}")) & (F.col("reach") + F.col(f"gain_{side}") + other >= 0))
-    extra = F.col("n_a") - F.col("inside_a") + F.col("n_b") - F.col("inside_b")
-    lost = F.col("lost_a") + F.col("lost_b")
+        met = met.join(best.select(F.col("base").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("gain", "extra", "low"))), side)
+    met = stored(met.where(F.col("middle") * (100 + percent) + F.col("gain_a") + F.col("gain_b") >= 0), "near")
+
+    ways = [met.select(F.col(x).alias("base"), F.col(y).alias("other"), F.col(f"extra_{x}").alias("extra")) for x, y in (("a", "b"), ("b", "a"))]
+    ways = ways[0].unionByName(ways[1]).where(F.col("extra") > 0)
+    asked = own.where(F.col("extra") > 0).join(ways.select("base").distinct(), "base")
+    asked = asked.select(F.col("sid").alias("a"), F.col("base").alias("b"), F.lit(1).cast("long").alias("member"))
+    apart = verify.differences(asked.unionByName(ways.select(F.col("other").alias("a"), F.col("base").alias("b"), F.lit(0).cast("long").alias("member"))))
+    new = apart.where("member = 1").select(F.col("a").alias("sid"), F.col("b").alias("base"), "token")
+    theirs = apart.where("member = 0").select(F.col("a").alias("other"), F.col("b").alias("base"), "token")
+    hits = stored(new.join(theirs, ["base", "token"]).groupBy("sid", "other").agg(F.count(F.lit(1)).alias("hits")), "hits")
+    common = new.select("token", "base").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1).select("token")
+    common = new.join(common, "token").groupBy("sid").agg(F.count(F.lit(1)).alias("common"))
+    own = stored(own.drop("n_base", "inside", "extra").join(common, "sid", "left").withColumn("common", F.coalesce("common", F.lit(0))), "own")
+    most_common = own.groupBy("base").agg(F.max("common").alias("common"))
+    for side in ("a", "b"):
+        met = met.join(most_common.select(F.col("base").alias(side), F.col("common").alias(f"top_{side}")), side)
+
+    def reach(hit: Column | int, common: Column, n_a: str, n_b: str) -> Column:
+        return (F.col("middle") + hit + common) * (100 + percent) >= percent * (F.col(n_a) + F.col(n_b))
+
+    found = None
+    for known in ((), ("a",), ("b",), ("a", "b")):  # the sides whose member holds new tokens of the other base
+        pairs, hit = met, F.lit(0)
+        # members with hits come first: they are few
+        for side in sorted("ab", key=lambda c: c not in known):
+            other = "b" if side == "a" else "a"
+            mine = own.select(*(F.col(c).alias(f"{c}_{side}") for c in ("base", "sid", "n", "lost", "common")))
+            on = F.col(side) == F.col(f"base_{side}")
+            if side in known:
+                of = hits.select(F.col("sid").alias(f"sid_{side}"), F.col("other").alias(f"of_{side}"), F.col("hits").alias(f"hits_{side}"))
+                mine = mine.join(of, f"sid_{side}")
+                on &= F.col(other) == F.col(f"of_{side}")
+                hit = hit + F.col(f"hits_{side}")
+            after = f"n_{other}" in pairs.columns
+            if after or other not in known:  # the bound is whole but for the other member's size
+                on &= reach(hit, F.least(f"common_{side}", F.col(f"common_{other}" if after else f"top_{other}")), f"n_{side}", f"n_{other}" if after else f"low_{other}")
+            pairs = pairs.join(mine, on)
+        pairs = pairs.withColumn("most", F.col("middle") + hit + F.least("common_a", "common_b"))
+        pairs = pairs.select("sid_a", "sid_b", "n_a", "n_b", "most", (F.col("middle") - F.col("lost_a") - F.col("lost_b")).alias("least"))
+        found = pairs if found is None else found.unionByName(pairs)
+
     flip = F.col("sid_a") > F.col("sid_b")
 
     def ordered(c: str, first: str, second: str) -> Column:
         return F.when(flip, F.col(f"{c}_{second}")).otherwise(F.col(f"{c}_{first}"))
 
-    pairs = met.select(
+    pairs = found.select(
         ordered("sid", "a", "b").alias("a"), ordered("sid", "b", "a").alias("b"), ordered("n", "a", "b").alias("na"), ordered("n", "b", "a").alias("nb"),
-        (F.col("middle") + extra).alias("most"), (F.col("middle") - lost).alias("least"),
+        "most", "least",
     )
     pairs = pairs.where(_linked(percent, F.least("most", "na", "nb")))
-    return pairs.select("a", "b", "na", "nb", (_linked(percent, "least") & (F.col("least") >= 0)).alias("sure"))
+    sure = _linked(percent, "least") & (F.col("least") >= 0)
+    return pairs.groupBy("a", "b", "na", "nb").agg(F.max(sure).alias("sure"))
 
 
 def link_sets(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -401,9 +466,9 @@ def link_sets(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     4. The lists are read again for pairs of bases whose sets meet across components, skipping blocks
        of entries whose sizes, positions or labels allow none. Lists inside one component, such as
        those of a large group of near copies, add nothing, and copies of one base count once.
-    5. Overlaps of the bases are counted once. With the known differences to the bases they bound
-       the overlap of every two sets that belong to them; only sets whose bound allows a link are
-       paired at all. The undecided are verified, first one for each two components, then the rest.
+    5. Overlaps of the bases are counted once. With the tokens in which sets differ from their bases
+       they bound the overlap of every two sets that belong to them; only sets whose bound allows a
+       link are paired at all. The undecided are verified, first one for each two components, then the rest.
 
     No pair is given up: each is excluded by a bound, known to be in one component, or counted.
 
@@ -450,7 +515,7 @@ def link_sets(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         two = stored(two, "two")
         links = links.unionByName(_edges(two.where(_linked(percent))))
         roots = components(links)
-        bound = stored(_members_of(_apart(two, roots), sets, bases, percent), "bounds")
+        bound = stored(_members_of(_apart(two, roots), sets, bases, percent, verify), "bounds")
         links = links.unionByName(_edges(bound.where("sure")))
         roots = components(links)
         unsure = _apart(bound.where(~F.col("sure")).drop("sure"), roots)
