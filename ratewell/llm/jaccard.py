@@ -16,6 +16,7 @@ from ratewell.llm.storage import stored, text_bytes
 
 BUCKET_ROWS = 1 << 20
 SKIP_ROWS = 64  # entries of an index list that are skipped together
+MEETINGS = 4  # the walk asks for one of so many meetings that the prefixes allow to ask for
 HEAVY = 1 << 20
 HEAVY_LOCAL, HEAVY_COUNT, HEAVY_FLUSH = 2, 8, 1 << 22
 
@@ -38,6 +39,24 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-percent * n // 100) + 1
 
 
+def meetings(na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """In how many lists the walk asks two sets to meet: part of what their prefixes allow to ask.
+
+    Of the tokens that a linked pair shares, the ``m``-th has ``least - m`` more behind it. So the pair meets
+    ``m`` times among the first ``na - least + m`` tokens of the one and ``nb - least + m`` of the other,
+    for every ``m`` whose tokens are all indexed. With a small ``m`` only rarer tokens count, which
+    leaves out sets that share a passage; with a large one few pairs meet often enough by chance.
+    """
+    indexed = least_overlap(na + nb, percent) - np.maximum(-(-percent * na // 100), -(-percent * nb // 100)) + 1
+    return np.maximum(1, indexed // MEETINGS)
+
+
+def early(na: np.ndarray, nb: np.ndarray, p: np.ndarray, q: np.ndarray, percent: int) -> np.ndarray:
+    """Are the positions ``p`` and ``q`` of a meeting among the first tokens that :func:`meetings` is about?"""
+    before = meetings(na, nb, percent) - least_overlap(na + nb, percent)
+    return (p < na + before) & (q < nb + before)
+
+
 def _sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of every row in ascending order, offsets of the rows, and the sets' ids."""
     hashes, row = shingles(words(data, offsets, lower=True), size)
@@ -204,8 +223,8 @@ def _across(percent: int):
     """Pairs of bases whose sets meet in one bucket's lists and are in different components so far.
 
     Sets with one base, size and position in a list are one entry here, whatever their number. A pair
-    of bases has one row: in how many lists it meets, which is no less than what any two of its sets
-    share, and the least number of shared prefix tokens that one of its meetings would need.
+    of bases has one row: in how many lists it meets early enough, which is no less than for any two of
+    its sets, and the least number of such meetings that two of them would need (:func:`meetings`).
     """
 
     def run(table: pa.Table, labels: pa.Table) -> pa.Table:
@@ -228,7 +247,12 @@ def _across(percent: int):
         for a, b in zip(bounds, [*bounds[1:], len(token)]):
             if label[a] == label[b - 1]:
                 continue  # one component: the list has nothing to add
-            met = [_of_bases(base[i + a], base[j + a], n[i + a], n[j + a], percent) for i, j in _meeting(label[a:b], n[a:b], pos[a:b], percent)]
+            met = []
+            for i, j in _meeting(label[a:b], n[a:b], pos[a:b], percent):
+                i, j = i + a, j + a
+                soon = early(n[i], n[j], pos[i], pos[j], percent)
+                if soon.any():
+                    met.append(_of_bases(base[i], base[j], n[i], n[j], percent)[soon])
             if met:
                 once = _added(np.concatenate(met))
                 once[:, 2] = 1  # one list
@@ -243,9 +267,8 @@ def _across(percent: int):
 
 
 def _of_bases(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
-    """Rows (base, base, 1, prefix tokens that the two sets must share), see :func:`_possible`."""
-    rest = np.maximum(-(-percent * na // 100), -(-percent * nb // 100)) - 1
-    return np.stack([np.minimum(a, b), np.maximum(a, b), np.ones_like(na), least_overlap(na + nb, percent) - rest], 1)
+    """Rows (base, base, 1, lists in which the two sets must meet)."""
+    return np.stack([np.minimum(a, b), np.maximum(a, b), np.ones_like(na), meetings(na, nb, percent)], 1)
 
 
 def _added(rows: np.ndarray) -> np.ndarray:

@@ -89,6 +89,39 @@ def test_blocks_skip_only_impossible_pairs():
     assert wanted <= got and all(label[i] != label[j] for i, j in got)
 
 
+def test_linked_sets_meet_early_often_enough():
+    """Every linked pair of random sets has the asked number of meetings early in both sets."""
+    rng = random.Random(11)
+    linked = 0
+    for _ in range(4000):
+        x = set(rng.sample(range(1000), rng.randrange(1, 90)))
+        gone = rng.sample(sorted(x), rng.randrange(0, len(x) // 8 + 1))
+        y = x - set(gone) | set(rng.sample(range(1000, 2000), rng.randrange(0, len(x) // 8 + 1)))
+        if not y or 100 * len(x & y) < 80 * len(x | y):
+            continue
+        linked += 1
+        order = {t: k for k, t in enumerate(rng.sample(sorted(x | y), len(x | y)))}
+        a, b = sorted(x, key=order.get), sorted(y, key=order.get)
+        na, nb = np.array(len(a)), np.array(len(b))
+        longest = [int(jaccard.prefix_size(n, 80)) for n in (na, nb)]
+        met = [t for t in x & y if a.index(t) < longest[0] and b.index(t) < longest[1]]
+        soon = [t for t in met if jaccard.early(na, nb, np.array(a.index(t)), np.array(b.index(t)), 80)]
+        assert len(soon) >= jaccard.meetings(na, nb, 80) >= 1
+    assert linked > 2000
+
+
+def test_texts_around_one_passage(spark, monkeypatch):
+    """Texts that share a long passage but are not alike stay apart from each other, not from their copies."""
+    monkeypatch.setattr(jaccard, "HEAVY_LOCAL", 2)
+    monkeypatch.setattr(jaccard, "HEAVY_COUNT", 8)
+    passage = [f"p{k}" for k in range(104)]
+    rows = [(i, " ".join([*(f"t{i}w{k}" for k in range(24)), *passage])) for i in range(60)]
+    rows += [(100 + i, " ".join([*(f"t{i}w{k}" for k in range(24)), *passage, f"end{i}"])) for i in range(0, 60, 7)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = link_sets(table).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == plain_classes(rows)
+
+
 def test_one_of_each_class_stays(docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     kept = keep_one_of_each(docs)
