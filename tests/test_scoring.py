@@ -40,3 +40,12 @@ def test_autorec_asked_for_nothing(spark):
     assert scoring.score_autorec(ratings.where(F.lit(False)), ratings, items, [0.1]).count() == 0
     null = spark.createDataFrame([(None, 1), (1, None)], "user_idx long, item_idx int")
     assert [r["prediction"] for r in scoring.score_autorec(null, ratings, items, [0.1]).collect()] == [0.0, 0.0]
+
+
+def test_weights_and_codes_do_not_move_as_users_times_items():
+    """At 900,000 users, 60,000 items and 36 million cells the moved bytes stay far below users times chunks of whole codes."""
+    cells, users, items, h = 36_000_000, 900_000, 60_000, 700
+    parts, width = scoring.slices_of(cells, users, items, h)
+    blocks, chunks = -(-users // (scoring.BLOCK_USERS * parts)), -(-items // (scoring.CHUNK_ITEMS * parts))
+    assert parts * width >= h and 16 * h * (items * blocks + users * chunks) + cells * parts * scoring.CELL_BYTES < 40e9
+    assert scoring.slices_of(1000, 100, 50, h) == (1, 704)  # little data is not cut
