@@ -267,10 +267,12 @@ def q_autorec_masked_rmse(spark, sf_dir):
     return masked_rmse(_autorec_scored(spark, sf_dir), by=["split"]).select("split", _r6("rmse"))
 
 
-def _mf_scored(spark, sf_dir) -> DataFrame:
+def _mf_scored(spark, sf_dir, raw: str | None = None) -> DataFrame:
+    """Centred ratings with their scores; ``raw`` names a column for the rating as given."""
     ratings = _labelled(spark, sf_dir)
     users, items = _formula_tables(ratings)
-    centred = prep.center(ratings, prep.global_mean(prep.part_of(ratings, "train")))
+    kept = ratings.withColumn(raw, F.col("rating")) if raw else ratings
+    centred = prep.center(kept, prep.global_mean(prep.part_of(ratings, "train")))
     return scoring.score_mf(centred, users, items, K, USER, ITEM)
 
 
@@ -285,8 +287,8 @@ def q_mf_batch_rmse(spark, sf_dir):
 
 def q_masked_rmse_zero(spark, sf_dir):
     """The literal mask on ratings shifted by 2.5, so that those of 2.5 count as missing."""
-    scored = _mf_scored(spark, sf_dir).drop("rating")
-    shifted = scored.join(ratings_view(spark, sf_dir).select(USER, ITEM, (F.col("rating") - 2.5).alias("rating")), [USER, ITEM])
+    scored = _mf_scored(spark, sf_dir, raw="given").where(F.col(USER).isNotNull() & F.col(ITEM).isNotNull())
+    shifted = scored.withColumn("rating", F.col("given") - 2.5)
     return masked_rmse(shifted, by=["split"], zero_is_missing=True).select("split", _r6("rmse"))
 
 
