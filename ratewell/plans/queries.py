@@ -295,7 +295,7 @@ def q_masked_rmse_zero(spark, sf_dir):
 def q_metrics_roundtrip(spark, sf_dir):
     """Errors written twice in append mode and read back."""
     path = _fresh(spark, "metrics")
-    errors = rmse(_mf_scored(spark, sf_dir), by=["split"])
+    errors = cut_lineage(rmse(_mf_scored(spark, sf_dir), by=["split"]))  # one row per split, written twice
     for epoch in (0, 1):
         row = errors.select(F.lit("mf").alias("model"), F.lit(epoch).alias("epoch"), "split", F.lit("rmse").alias("metric"), _r6("rmse"))
         io.write_metrics(row.withColumnRenamed("rmse", "value"), path)

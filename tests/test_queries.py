@@ -10,3 +10,15 @@ def test_masked_errors_read_the_ratings_once(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(queries, "ratings_view", lambda *a: calls.append(a) or view(*a))
     queries.q_masked_rmse_zero(spark, sf_dir)
     assert len(calls) == 1
+
+
+def test_errors_written_twice_are_computed_once(spark, sf_dir, monkeypatch):
+    write, scans = queries.io.write_metrics, []
+
+    def watched(metrics, path):
+        scans.append(len(metrics.inputFiles()))
+        write(metrics, path)
+
+    monkeypatch.setattr(queries.io, "write_metrics", watched)
+    assert queries.q_metrics_roundtrip(spark, sf_dir).count() == 4
+    assert scans == [0, 0]  # stored rows, no file of the tables is read again
