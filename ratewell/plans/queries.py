@@ -217,9 +217,21 @@ def q_attached(spark, sf_dir):
 # -- forward passes with formula parameters -----------------------------------------------
 
 
-def _formula_tables(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    users = scoring.formula_factors(ratings.select(USER).distinct(), USER, 0, K)
-    items = scoring.formula_factors(ratings.select(ITEM).distinct(), ITEM, 1, K)
+def _ids(ratings: DataFrame, key: str, also: str | None) -> DataFrame:
+    """Distinct ids, taken from the very rows that get scored.
+
+    A plain ``distinct`` is planned past the ratings' own grouping, and the join's test for null ids below it:
+    joins and shuffles of its own. Counts of rows (and of a hash of ``also``, if the scored rows carry that column) and
+    an id that is aggregated keep the plan of the ratings as it is, so that Spark reuses its shuffle.
+    """
+    rows = F.count(F.lit(1)) if also is None else F.count(F.lit(1)) + F.max(F.xxhash64(also)) * 0
+    ids = ratings.groupBy(F.col(key).alias("_key")).agg(F.max(key).alias(key), rows.alias("_rows"))
+    return ids.where(F.col("_rows") > 0).select(key)
+
+
+def _formula_tables(ratings: DataFrame, also: str | None = None) -> tuple[DataFrame, DataFrame]:
+    users = scoring.formula_factors(_ids(ratings, USER, also), USER, 0, K)
+    items = scoring.formula_factors(_ids(ratings, ITEM, also), ITEM, 1, K)
     return users, items
 
 
@@ -270,7 +282,7 @@ def q_autorec_masked_rmse(spark, sf_dir):
 def _mf_scored(spark, sf_dir, raw: str | None = None) -> DataFrame:
     """Centred ratings with their scores; ``raw`` names a column for the rating as given."""
     ratings = _labelled(spark, sf_dir)
-    users, items = _formula_tables(ratings)
+    users, items = _formula_tables(ratings, "rating")
     kept = ratings.withColumn(raw, F.col("rating")) if raw else ratings
     centred = prep.center(kept, prep.global_mean(prep.part_of(ratings, "train")))
     return scoring.score_mf(centred, users, items, K, USER, ITEM)
