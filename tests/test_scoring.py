@@ -51,3 +51,34 @@ def test_weights_and_codes_do_not_move_as_users_times_items():
     assert parts * width >= h
     assert 10 * (16 * h * (items * blocks + users * chunks) + cells * parts * scoring.CELL_BYTES) < before
     assert scoring.slices_of(1000, 100, 50, h) == (1, 704)  # little data is not cut
+
+
+@pytest.mark.parametrize("unit_bytes,values,own", [(0, 1 << 22, 12), (1 << 28, 22, 1), (1 << 28, 200, 2), (1 << 28, 11 * 64, 12)])
+def test_autorec_weights_pass_in_slices(spark, monkeypatch, unit_bytes, values, own):
+    """Slices of one or more hidden units, and chunks of items, give the same; the weights are not shuffled to the users."""
+    monkeypatch.setattr(scoring, "UNIT_BYTES", unit_bytes)
+    monkeypatch.setattr(scoring, "SLICE_VALUES", values)
+    monkeypatch.setattr(scoring, "OWN_BLOCKS", own)
+    monkeypatch.setattr(scoring, "BLOCK_USERS", 2)
+    rng = np.random.default_rng(10)
+    h, n_items = 40, 11
+    w_in, w_out, b_out, b_in = rng.normal(size=(n_items, h)), rng.normal(size=(n_items, h)), rng.normal(size=n_items), rng.normal(size=h)
+    cells = [(u, i, float(rng.normal())) for u in range(30) for i in range(n_items) if rng.random() < 0.5]
+    parts = [(i, p, w_in[i, 32 * p : 32 * p + 32].tolist(), w_out[i, 32 * p : 32 * p + 32].tolist(), float(b_out[i])) for i in range(n_items) for p in (0, 1)]
+    items = spark.createDataFrame(parts, "item_idx int, part int, w_in array<double>, w_out array<double>, b_out double").repartition(3)
+    pairs = spark.createDataFrame([(u, i) for u in range(31) for i in (0, 3, 99)] + [(1, 3)], "user_idx long, item_idx int")
+    ratings = spark.createDataFrame(cells + [(40, 1, 1.0), (2, None, 1.0)], "user_idx long, item_idx int, rating double")
+    scored = scoring.score_autorec(pairs, ratings, items, b_in.tolist())
+    if unit_bytes:
+        assert "CartesianProduct" in scored._jdf.queryExecution().executedPlan().toString()
+        slices, width = scoring.weight_slices(items, "item_idx", h, n_items)
+        assert slices.count() == -(-h // width) and (width == 1 or width * n_items * 2 <= values)
+    got = scored.collect()
+    assert len(got) == 31 * 3 + 1
+    for row in got:
+        x = np.zeros(n_items)
+        for u, i, y in cells:
+            if u == row["user_idx"]:
+                x[i] = y
+        expected = np.tanh(x @ w_in + b_in) @ w_out[row["item_idx"]] + b_out[row["item_idx"]] if row["item_idx"] < n_items else 0.0
+        assert abs(row["prediction"] - expected) < 1e-9
